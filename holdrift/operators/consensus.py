@@ -144,19 +144,24 @@ def details_of(signals: DataFrame, details: DataFrame) -> DataFrame:
     return details.join(signals.select("isin"), "isin", "left_semi")
 
 
-def nested_details(details: DataFrame, per_array=1000) -> DataFrame:
-    """Details as arrays, about ``per_array`` funds in each: (isin, part, etf_details).
+def in_parts(rows: DataFrame, per_part=1000) -> DataFrame:
+    """Adds ``part`` so that each (isin, part) has about ``per_part`` funds.
 
-    A security with few funds has one part; one with many has as many parts as it needs.
+    A security with few funds has one part; one with many has as many as it needs, and
+    they are spread over tasks.
     """
-    sizes = details.groupBy("isin").agg(
-        F.ceil(F.count(F.lit(1)) / per_array).cast("int").alias("parts"))
+    sizes = rows.groupBy("isin").agg(
+        F.ceil(F.count(F.lit(1)) / per_part).cast("int").alias("_parts"))
+    part = F.pmod(F.xxhash64("etf_ticker"), F.col("_parts")).cast("int")
+    return rows.join(join_side(sizes), "isin").withColumn("part", part).drop("_parts")
+
+
+def nested_details(details: DataFrame, per_part=1000) -> DataFrame:
+    """Details as arrays of bounded length: (isin, part, etf_details)."""
     entry = F.struct(
         "etf_ticker", "delta_type", "delta_weight_pct", "delta_shares", "delta_market_value")
-    part = F.pmod(F.xxhash64("etf_ticker"), F.col("parts")).cast("int").alias("part")
-    placed = details.join(join_side(sizes), "isin").select("isin", part, entry.alias("entry"))
-    return placed.groupBy("isin", "part").agg(
-        F.sort_array(F.collect_list("entry")).alias("etf_details"))
+    return in_parts(details, per_part).groupBy("isin", "part").agg(
+        F.sort_array(F.collect_list(entry)).alias("etf_details"))
 
 
 def rescope(signals: DataFrame, details: DataFrame, wanted: Column):
