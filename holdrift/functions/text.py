@@ -18,6 +18,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(value, body) -> Column:
+    """``body`` applied to ``value``, which is computed once however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c) -> Column:
     """Text without white space at both ends."""
     return F.regexp_replace(_col(c), f"^{SPACE}+|{SPACE}+$", "")
@@ -33,14 +38,18 @@ def clean_text(c) -> Column:
     return F.when(~F.lower(text).isin(TEXT_PLACEHOLDERS), text)
 
 
-def parse_number(c) -> Column:
-    """Number in provider notation: ``$1,234.5``, ``12%``, ``(3.5)`` for minus 3.5."""
-    text = strip(c)
+def _signed_number(text) -> Column:
     bare = strip(F.regexp_replace(F.regexp_replace(text, r"^[()]+|[()]+$", ""), "[,%$]", ""))
     digits = F.regexp_replace(bare, r"(?<=\d)_(?=\d)", "")
-    value = F.when(digits.rlike(_NUMBER), digits.try_cast("double"))
-    signed = F.when(text.startswith("(") & text.endswith(")"), -value).otherwise(value)
-    return F.when(~text.isin(NUMBER_PLACEHOLDERS) & (F.lower(text) != "nan"), signed)
+    value = F.regexp_extract(digits, _NUMBER, 0).try_cast("double")
+    in_brackets = text.startswith("(") & text.endswith(")")
+    return F.when(~text.isin(NUMBER_PLACEHOLDERS) & (F.lower(text) != "nan"),
+                  F.when(in_brackets, -value).otherwise(value))
+
+
+def parse_number(c) -> Column:
+    """Number in provider notation: ``$1,234.5``, ``12%``, ``(3.5)`` for minus 3.5."""
+    return bound(strip(c), _signed_number)
 
 
 _MONTH_NO = r"(1[0-2]|0[1-9]|[1-9])"
@@ -70,16 +79,18 @@ def _date_by_shape(text, pattern, year, month, day):
     return F.when(text.rlike(pattern), F.concat_ws("-", y, m, d).try_cast("date"))
 
 
+def _first_shape(shapes):
+    return lambda text: F.coalesce(*[_date_by_shape(text, *shape) for shape in shapes])
+
+
 def parse_date(c) -> Column:
     """Date in one of the providers' eight notations; month-first is tried before day-first."""
-    text = strip(c)
-    return F.coalesce(*[_date_by_shape(text, *shape) for shape in _DATE_SHAPES])
+    return bound(strip(c), _first_shape(_DATE_SHAPES))
 
 
 def parse_us_date(c) -> Column:
     """Date as m/d/Y, else ISO, else d/m/Y."""
-    text = strip(c)
-    return F.coalesce(*[_date_by_shape(text, *shape) for shape in _US_DATE_SHAPES])
+    return bound(strip(c), _first_shape(_US_DATE_SHAPES))
 
 
 def is_isin(c) -> Column:

@@ -9,7 +9,7 @@ from holdrift.functions.text import search
 from holdrift.operators import consensus, coverage, deltas, digest, snapshots, thresholds
 from holdrift.plans import publish, views
 from workload.registry import query
-from workload.sql import MATERIAL, band, rolled, sql
+from workload.sql import MATERIAL, band, short_shares_sql, sql
 from workload.tables import CONFIG, as_doubles, holdings, universe
 
 GROUPS = CONFIG["cross_etf"]["equivalent_etf_groups"]
@@ -445,16 +445,6 @@ _LABEL = """CASE WHEN constituent_ticker IS NOT NULL AND constituent_ticker <> '
  coalesce(nullif(trim(coalesce(constituent_name, '')), ''), '—') END"""
 
 
-def short_shares_sql(value):
-    size = f"abs({value})"
-    return f"""CASE WHEN {value} IS NULL THEN '—' ELSE (CASE WHEN {value} >= 0 THEN '+' ELSE '-' END)
- || CASE WHEN {size} >= 1e9 THEN printf('%.1fB', {size} / 1e9)
-         WHEN {size} >= 1e7 THEN printf('%.0fM', {size} / 1e6)
-         WHEN {size} >= 1e6 THEN printf('%.1fM', {size} / 1e6)
-         WHEN {size} >= 1e3 THEN printf('%.0fK', {size} / 1e3)
-         ELSE printf('%.0f', {size}) END END"""
-
-
 _LINES = f"""
 SELECT delta_type AS section, place, total, hidden,
        rpad(etf_ticker, CAST(greatest(length(etf_ticker), w1) AS INTEGER), ' ') || '  ' ||

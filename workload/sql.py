@@ -1,6 +1,9 @@
 """DuckDB SQL of the derived tables and of the delta run, in named parts."""
 
-from holdrift.fixed_values import UNTYPED_ROW_CURRENCY_CODES
+from holdrift.fixed_values import (
+    CASH_WORDS, CURRENCY_CODES, CURRENCY_WORDS, DERIVATIVE_WORDS, LABEL_RULES,
+    UNTYPED_ROW_CURRENCY_CODES,
+)
 from workload.tables import CONFIG, HOLDINGS_SQL, UNIVERSE_SQL
 
 
@@ -192,3 +195,38 @@ def sql(select, **more):
     add(select)
     listed = ",\n".join(f"{name} AS ({parts[name]})" for name in needed)
     return f"WITH {listed}\n{select}" if needed else select
+
+
+def short_shares_sql(value):
+    size = f"abs({value})"
+    return f"""CASE WHEN {value} IS NULL THEN '—' ELSE (CASE WHEN {value} >= 0 THEN '+' ELSE '-' END)
+ || CASE WHEN {size} >= 1e9 THEN printf('%.1fB', {size} / 1e9)
+         WHEN {size} >= 1e7 THEN printf('%.0fM', {size} / 1e6)
+         WHEN {size} >= 1e6 THEN printf('%.1fM', {size} / 1e6)
+         WHEN {size} >= 1e3 THEN printf('%.0fK', {size} / 1e3)
+         ELSE printf('%.0f', {size}) END END"""
+
+
+def any_of(value, words):
+    return "(" + " OR ".join(f"contains({value}, '{w}')" for w in words) + ")"
+
+
+LABEL_TYPE = "CASE " + " ".join(
+    f"WHEN contains(lower(trim(asset_class)), '{w}') THEN '{kind}'" for w, kind in LABEL_RULES) + " END"
+
+
+def typed(rows, label="asset_class"):
+    """The rows with ``instrument_type``."""
+    by_label = LABEL_TYPE.replace("asset_class", label)
+    return f"""
+SELECT * EXCLUDE (words, code, real_isin), CASE WHEN {by_label} IS NOT NULL THEN {by_label}
+  WHEN {any_of('words', CASH_WORDS)} THEN 'cash'
+  WHEN {any_of('words', DERIVATIVE_WORDS)} THEN 'derivative'
+  WHEN NOT real_isin AND (code IN ({quoted(CURRENCY_CODES)}) OR {any_of('words', CURRENCY_WORDS)})
+    THEN 'fx'
+  WHEN NOT real_isin AND code = '' THEN 'residual'
+  WHEN coalesce(weight_pct, 0) = 0 AND coalesce(market_value, 0) = 0 THEN 'derivative'
+  ELSE 'equity' END AS instrument_type
+FROM (SELECT *, lower(coalesce(constituent_name, '') || ' ' || coalesce(constituent_ticker, ''))
+        AS words, upper(trim(coalesce(constituent_ticker, ''))) AS code,
+        coalesce(isin, '') NOT IN ('', 'CASH') AS real_isin FROM ({rows}))"""

@@ -89,9 +89,11 @@ def load(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+HOLDINGS_EXPRESSIONS = [part.strip() for part in _HOLDINGS_SPARK.split("\n    | ")]
+
+
 def holdings(spark, folder):
-    return load(spark, folder, "lineitem").selectExpr(
-        *[part.strip() for part in _HOLDINGS_SPARK.split("\n    | ")])
+    return load(spark, folder, "lineitem").selectExpr(*HOLDINGS_EXPRESSIONS)
 
 
 def universe(spark, folder):
