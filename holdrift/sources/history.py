@@ -45,6 +45,7 @@ def csv_layouts(spark: SparkSession, folder: str) -> DataFrame:
 def read_csv_history(spark: SparkSession, folder: str) -> DataFrame:
     """A history kept as delimited files; columns are matched by name, not by place.
 
+    Empty text, quoted or not, is a missing value.
     The driver only learns the file names per header, as it does to plan any scan.
     """
     tables = []
@@ -54,7 +55,9 @@ def read_csv_history(spark: SparkSession, folder: str) -> DataFrame:
         schema = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
         part = spark.read.schema(schema).csv(
             sorted(layout.files), header=True, multiLine=True, escape='"')
-        tables.append(with_history_columns(part))
+        filled = part.select(*[
+            blank_to_null(c).alias(c) if t == "string" else F.col(c) for c, t in part.dtypes])
+        tables.append(with_history_columns(filled))
     if not tables:
         return empty_history(spark)
     whole = tables[0]

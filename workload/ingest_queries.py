@@ -267,13 +267,13 @@ def stored_columns(spark, folder):
 
 
 @query("csv_history_scan", sql(f"""
-SELECT {_STORED} FROM holdings WHERE source = 'web_csv' UNION ALL
-SELECT {_STORED.replace('asset_class,', 'NULL AS asset_class,').replace(
+SELECT {_STORED.replace('asset_class,', "nullif(asset_class, '') AS asset_class,")} FROM holdings
+WHERE source = 'web_csv' UNION ALL SELECT {_STORED.replace('asset_class,', 'NULL AS asset_class,').replace(
     'instrument_type,', 'NULL AS instrument_type,')} FROM holdings WHERE source = 'manual'"""))
 def csv_history_scan(spark, folder):
     rows = history.with_history_columns(holdings(spark, folder))
     target = scratch(spark, "csv-history")
-    options = {"header": True, "escape": '"', "emptyValue": '""', "nullValue": ""}
+    options = {"header": True, "escape": '"'}
     rows.filter("source = 'web_csv'").write.csv(f"{target}/typed", **options)
     older = [c for c in reversed(rows.columns) if c not in ("asset_class", "instrument_type")]
     rows.filter("source = 'manual'").select(*older).write.csv(f"{target}/older", **options)
