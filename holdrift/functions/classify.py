@@ -14,10 +14,8 @@ from holdrift.functions.text import blank_to_null, contains_any, strip
 def label_type(c) -> Column:
     """Instrument type told by a provider's asset-class label, else NULL."""
     label = F.lower(strip(c))
-    found = F.lit(None).cast("string")
-    for text, kind in reversed(LABEL_RULES):
-        found = F.when(label.contains(text), F.lit(kind)).otherwise(found)
-    return found
+    rules = F.array(*[F.lit([text, kind]) for text, kind in LABEL_RULES])
+    return F.get(F.get(F.filter(rules, lambda rule: F.contains(label, rule[0])), F.lit(0)), F.lit(1))
 
 
 def with_instrument_type(df: DataFrame, label="asset_class") -> DataFrame:

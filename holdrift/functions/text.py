@@ -9,7 +9,8 @@ from holdrift.fixed_values import (
 )
 
 # Every character that counts as white space, not only the ASCII ones.
-SPACE = r"[\s\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+SPACES = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+          "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 _NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)$"
 
@@ -25,7 +26,7 @@ def bound(value, body) -> Column:
 
 def strip(c) -> Column:
     """Text without white space at both ends."""
-    return F.regexp_replace(_col(c), f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(_col(c), F.lit(SPACES))
 
 
 def blank_to_null(c) -> Column:
@@ -39,8 +40,8 @@ def clean_text(c) -> Column:
 
 
 def _signed_number(text) -> Column:
-    bare = strip(F.regexp_replace(F.regexp_replace(text, r"^[()]+|[()]+$", ""), "[,%$]", ""))
-    digits = F.regexp_replace(bare, r"(?<=\d)_(?=\d)", "")
+    bare = strip(F.translate(F.btrim(text, F.lit("()")), ",%$", ""))
+    digits = F.when(bare.contains("_"), F.regexp_replace(bare, r"(?<=\d)_(?=\d)", "")).otherwise(bare)
     value = F.regexp_extract(digits, _NUMBER, 0).try_cast("double")
     in_brackets = text.startswith("(") & text.endswith(")")
     return F.when(~text.isin(NUMBER_PLACEHOLDERS) & (F.lower(text) != "nan"),
@@ -109,7 +110,8 @@ def normal_ticker(c) -> Column:
 
 def base_ticker(c) -> Column:
     """Ticker without exchange: ``FCX US`` and ``FCX.N`` give ``FCX``."""
-    first_word = F.regexp_extract(normal_ticker(c), f"^(?:(?!{SPACE}).)+", 0)
+    plain = F.translate(normal_ticker(c), SPACES, " " * len(SPACES))
+    first_word = F.substring_index(plain, " ", 1)
     return blank_to_null(F.substring_index(first_word, ".", 1))
 
 
@@ -125,10 +127,11 @@ def normal_country(c) -> Column:
 
 
 def contains_any(text, words) -> Column:
-    hit = F.lit(False)
-    for word in words:
-        hit = hit | text.contains(word)
-    return hit
+    """Whether text holds any of the words.
+
+    A loop over a constant array: a chain of tests would generate methods too long to compile.
+    """
+    return F.exists(F.lit(list(words)), lambda word: F.contains(text, word))
 
 
 def search(query, fields) -> Column:

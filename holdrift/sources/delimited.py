@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from holdrift.functions.text import strip
+from holdrift.functions.text import bound, strip
 
 # A field is quoted (doubled quotes inside, line breaks allowed), plain, or empty.
 _FIELD = r'"[^"]*+(?:""[^"]*+)*+(?:"[^,\n]*+|\z)|[^",\n][^,\n]*+|'
@@ -57,9 +57,8 @@ def column_position(names, aliases, loose) -> Column:
     equal = F.get(F.filter(aliases, lambda a: F.array_contains(names, a)), F.lit(0))
     holding = F.get(F.flatten(F.transform(
         aliases, lambda a: F.filter(names, lambda n: F.contains(n, a)))), F.lit(0))
-    name = F.coalesce(equal, F.when(loose, holding))
-    return F.when(name.isNotNull(),
-                  F.size(names) - F.array_position(F.reverse(names), name)).cast("int")
+    return bound(F.coalesce(equal, F.when(loose, holding)), lambda name: F.when(
+        name.isNotNull(), F.size(names) - F.array_position(F.reverse(names), name)).cast("int"))
 
 
 def has_text(fields, width) -> Column:

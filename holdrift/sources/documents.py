@@ -2,8 +2,8 @@
 
 Input is a landing table with one document per row (``schemas.DOCUMENTS``). A document is
 taken apart within its row: no shuffle is needed until its holdings are spread as rows.
-Every reader returns one row per document with ``reason`` (why it was rejected, else NULL)
-and ``holdings``; ``raw_rows`` and ``rejects`` split that.
+Every reader returns one row per document with ``reason`` (why it was rejected, else NULL),
+its ``holdings``, and what it states once for all of them; ``raw_rows`` and ``rejects`` split that.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,20 +15,20 @@ from holdrift.fixed_values import (
     HOLDINGS_AS_OF_PATTERN, HTML_NAME_WORDS, HTML_TABLE_COLUMNS, HTML_WEIGHT_WORDS,
     MIN_FULL_HOLDINGS, PAGE_AS_OF_PATTERN, RAW_FIELDS, ROW_JSON_FIELDS, SHEET_COLUMNS,
 )
+from holdrift.functions.once import with_computed
 from holdrift.functions.text import (
-    SPACE, blank_to_null, contains_any, parse_us_date, strip,
+    SPACES, blank_to_null, bound, contains_any, parse_us_date, strip,
 )
 from holdrift.plans.joins import local_table
 from holdrift.sources import delimited
 
 _KEYS = ["path", "etf_ticker", "layout"]
-_FIELDS = [name for name in RAW_FIELDS if name != "as_of_date"]
 
 
 # --- facts about a document ---------------------------------------------------------
 
 def looks_like_html(content) -> Column:
-    head = F.lower(F.substring(F.regexp_replace(content, f"^{SPACE}+", ""), 1, 512))
+    head = F.lower(F.substring(F.ltrim(content, F.lit(SPACES)), 1, 512))
     return (head.startswith("<!doctype html") | head.startswith("<html")
             | head.contains("<head>"))
 
@@ -53,13 +53,36 @@ def page_date(content) -> Column:
         _first(content, HOLDINGS_AS_OF_PATTERN), _first(content, PAGE_AS_OF_PATTERN)))
 
 
-# --- splitting a reader's result ----------------------------------------------------
+# --- a reader's result --------------------------------------------------------------
+
+def _read(rows: DataFrame, reason, holdings, date=None, currency=None) -> DataFrame:
+    """What a reader returns. A holding is an array of the raw fields, then its account."""
+    null = F.lit(None).cast("string")
+    return rows.select(
+        *_KEYS, reason.alias("reason"), holdings.alias("holdings"),
+        (null if date is None else date.cast("string")).alias("document_date"),
+        (null if currency is None else currency).alias("document_currency"))
+
+
+def _spread(read: DataFrame, fund) -> DataFrame:
+    rows = read.filter(F.col("reason").isNull()).select(
+        "path", "etf_ticker", "layout", "document_date", "document_currency",
+        F.posexplode("holdings").alias("line", "stated"))
+    fields = {name: F.get("stated", F.lit(i)) for i, name in enumerate(RAW_FIELDS)}
+    fields["currency"] = F.coalesce("document_currency", fields["currency"])
+    fields["as_of_date"] = F.coalesce(blank_to_null(fields["as_of_date"]), "document_date")
+    return rows.select("path", fund.alias("etf_ticker"), "layout", "line",
+                       *[value.alias(name) for name, value in fields.items()])
+
 
 def raw_rows(read: DataFrame) -> DataFrame:
     """The holdings of accepted documents, one row each, with ``line`` as their place."""
-    spread = read.filter(F.col("reason").isNull()).select(
-        *_KEYS, F.posexplode("holdings").alias("line", "holding"))
-    return spread.select(*_KEYS, "line", "holding.*")
+    return _spread(read, F.col("etf_ticker"))
+
+
+def feed_rows(read: DataFrame) -> DataFrame:
+    """Rows of multi-fund feeds read once for all funds: each row's account is its fund."""
+    return _spread(read, F.upper(strip(F.get("stated", F.lit(len(RAW_FIELDS))))))
 
 
 def rejects(read: DataFrame) -> DataFrame:
@@ -77,127 +100,103 @@ def outcomes(read: DataFrame) -> DataFrame:
     return read.select(*_KEYS, status.alias("status"), F.col("reason").alias("error"))
 
 
-def _holding(values: dict, as_of) -> Column:
-    """A holding with the raw fields in order; fields without a value are NULL."""
-    null = F.lit(None).cast("string")
-    return F.struct(*[values.get(name, null).cast("string").alias(name) for name in _FIELDS],
-                    as_of.cast("string").alias("as_of_date"))
+def _lowered(names):
+    return [name.strip().lower() for name in names]
+
+
+def _names(columns: dict) -> list:
+    """For each raw field the lower-case column names that may hold it."""
+    return [_lowered(columns.get(name, [])) for name in RAW_FIELDS]
+
+
+def _picked(records, places) -> Column:
+    """The raw fields of every record, by the places of their columns."""
+    return F.transform(records, lambda record: F.transform(
+        places, lambda place: F.get(record, place)))
 
 
 # --- delimited text -----------------------------------------------------------------
 
 _TEXTS = T.ArrayType(T.StringType())
-_LAYOUT_TABLE = T.StructType(
-    [
-        T.StructField("layout", T.StringType()),
-        T.StructField("header_words", _TEXTS),
-        T.StructField("header_words_without_weight", _TEXTS),
-        T.StructField("date_rule", T.StringType()),
-        T.StructField("loose", T.BooleanType()),
-        T.StructField("needs_rows", T.BooleanType()),
-        T.StructField("needs_name_or_ticker", T.BooleanType()),
-        T.StructField("account_names", _TEXTS),
-        T.StructField("fixed_currency", T.StringType()),
-    ]
-    + [T.StructField(f"{name}_names", _TEXTS) for name in RAW_FIELDS]
-)
+_LAYOUT_TABLE = T.StructType([
+    T.StructField("layout", T.StringType()),
+    T.StructField("header_words", _TEXTS),
+    T.StructField("header_words_without_weight", _TEXTS),
+    T.StructField("date_rule", T.StringType()),
+    T.StructField("loose", T.BooleanType()),
+    T.StructField("needs_rows", T.BooleanType()),
+    T.StructField("needs_name_or_ticker", T.BooleanType()),
+    T.StructField("has_account", T.BooleanType()),
+    T.StructField("currency", T.StringType()),
+    T.StructField("column_names", T.ArrayType(_TEXTS)),  # of the raw fields, then the account
+])
 
 
 def layout_table(spark: SparkSession) -> DataFrame:
     """One row per delimited layout: how to find its header and its columns."""
-    def lowered(names):
-        return [name.strip().lower() for name in names]
-
     rows = []
     for layout, told in CSV_LAYOUTS.items():
         rows.append([
             layout, told["header"], told.get("header_without_weight"), told["date"],
             told.get("loose", True), told.get("needs_rows", False),
-            told.get("needs_name_or_ticker", False), lowered(told.get("account", [])),
+            told.get("needs_name_or_ticker", False), "account" in told,
             told.get("fixed", {}).get("currency"),
-            *[lowered(told["columns"].get(name, [])) for name in RAW_FIELDS],
+            [*_names(told["columns"]), _lowered(told.get("account", []))],
         ])
     return local_table(spark, rows, _LAYOUT_TABLE)
 
 
-def _field(fields, position) -> Column:
-    return F.get(fields, position)
-
-
 def read_delimited(docs: DataFrame) -> DataFrame:
     """Documents in any of the delimited layouts, read in one pass.
 
     Columns are located once per document; a record then only picks by place.
     """
     layouts = layout_table(docs.sparkSession)  # a handful of fixed rows
-    rows = docs.join(F.broadcast(layouts), "layout")
-    rows = rows.withColumns({
-        "html": looks_like_html(F.col("content")),
-        "lines": F.split(delimited.plain_lines(F.col("content")), "\n"),
+    content = F.col("content")
+    rows = with_computed(docs.join(F.broadcast(layouts), "layout"), {
+        "html": looks_like_html(content),
+        "lines": F.split(delimited.plain_lines(content), "\n"),
         "words": F.when(
-            F.lower("content").contains("weight"), F.col("header_words")
+            F.lower(content).contains("weight"), F.col("header_words")
         ).otherwise(F.coalesce("header_words_without_weight", "header_words")),
+        "as_of": as_of_text(content),
+    })
+    rows = with_computed(rows, {"start": delimited.header_line(F.col("lines"), F.col("words"))})
+    readable = ~F.col("html") & (F.col("start") > 0)
+    text = delimited.text_from_line(F.col("lines"), F.col("start"))
+    rows = with_computed(rows, {"records": F.when(readable, delimited.records(text))})
+    rows = with_computed(rows, {"names": delimited.header_names(F.get("records", F.lit(0)))})
+    rows = with_computed(rows, {
+        "places": F.transform("column_names", lambda names: delimited.column_position(
+            F.col("names"), names, F.col("loose"))),
+        "body": F.filter(
+            F.slice("records", 2, F.greatest(F.size("records"), F.lit(1))),
+            lambda record: delimited.has_text(record, F.size("names"))),
     })
-    rows = rows.withColumn("start", delimited.header_line(F.col("lines"), F.col("words")))
-    rows = rows.withColumn("all_records", F.when(
-        ~F.col("html") & (F.col("start") > 0),
-        delimited.records(delimited.text_from_line(F.col("lines"), F.col("start")))))
-    rows = rows.withColumn("names", delimited.header_names(F.get("all_records", F.lit(0))))
-    places = {
-        f"at_{name}": delimited.column_position(
-            F.col("names"), F.col(f"{name}_names"), F.col("loose"))
-        for name in ["account", *RAW_FIELDS]
-    }
-    rows = rows.withColumns(places)
-    body = F.slice("all_records", 2, F.greatest(F.size("all_records"), F.lit(1)))
-    rows = rows.withColumn("kept", F.filter(
-        body, lambda r: delimited.has_text(r, F.size("names"))))
-    mine = F.filter("kept", lambda r: F.col("etf_ticker").isNull() | (
-        F.upper(strip(_field(r, F.col("at_account")))) == F.upper("etf_ticker")))
-    has_account = F.size("account_names") > 0
-    rows = rows.withColumn("kept", F.when(has_account, mine).otherwise(F.col("kept")))
-
-    as_of = as_of_text(F.col("content"))
-    document_date = (
-        F.when(F.col("date_rule").isin("text", "column_then_text"), as_of)
+    rows = with_computed(rows, {"stated": _picked("body", F.col("places"))})
+
+    def wanted(holding):
+        account = F.upper(strip(F.get(holding, F.lit(len(RAW_FIELDS)))))
+        mine = ~F.col("has_account") | F.col("etf_ticker").isNull() | (
+            F.coalesce(account, F.lit("")) == F.upper("etf_ticker"))
+        told = F.coalesce(blank_to_null(F.get(holding, F.lit(0))),
+                          blank_to_null(F.get(holding, F.lit(1)))).isNotNull()
+        return mine & (~F.col("needs_name_or_ticker") | told)
+
+    rows = with_computed(rows, {"kept": F.filter("stated", wanted)})
+    date = (
+        F.when(F.col("date_rule").isin("text", "column_then_text"), F.col("as_of"))
         .when(F.col("date_rule") == "date_line_then_text",
-              F.coalesce(date_line_text(F.col("content")), as_of))
+              F.coalesce(date_line_text(content), "as_of"))
         .when(F.col("date_rule") == "given", parse_us_date("given_date").cast("string"))
     )
-    rows = rows.withColumn("document_date", document_date)
-
-    def holding(record):
-        values = {name: _field(record, F.col(f"at_{name}")) for name in _FIELDS}
-        values["currency"] = F.coalesce("fixed_currency", values["currency"])
-        stated = _field(record, F.col("at_as_of_date"))
-        date = F.when(F.col("date_rule") == "column", stated).otherwise(
-            F.coalesce(blank_to_null(stated), F.col("document_date")))
-        account = F.upper(strip(_field(record, F.col("at_account"))))
-        return F.struct(_holding(values, date).alias("holding"), account.alias("account"))
-
-    rows = rows.withColumn("read", F.transform("kept", holding))
-    named = F.filter("read", lambda h: (F.coalesce(h["holding"]["constituent_name"], F.lit("")) != "")
-                     | (F.coalesce(h["holding"]["constituent_ticker"], F.lit("")) != ""))
-    rows = rows.withColumn("read", F.when(F.col("needs_name_or_ticker"), named).otherwise(
-        F.col("read")))
     reason = (
         F.when(F.col("html"), "web page instead of data")
         .when(F.col("start") == 0, "no header line")
-        .when(F.col("needs_rows") & has_account & (F.size("kept") == 0), "no rows of this fund")
-        .when(F.col("needs_rows") & (F.size("kept") == 0), "no rows")
+        .when(F.col("needs_rows") & (F.size("kept") == 0), F.when(
+            F.col("has_account"), "no rows of this fund").otherwise("no rows"))
     )
-    return rows.select(
-        *_KEYS, reason.alias("reason"),
-        F.transform("read", lambda h: h["holding"]).alias("holdings"),
-        F.transform("read", lambda h: h["account"]).alias("accounts"))
-
-
-def feed_rows(read: DataFrame) -> DataFrame:
-    """Rows of multi-fund feeds read once for all funds: each row's account is its fund."""
-    spread = read.filter(F.col("reason").isNull()).select(
-        "path", "layout", F.posexplode(F.arrays_zip("accounts", "holdings")).alias("line", "both"))
-    return spread.select(
-        "path", F.col("both.accounts").alias("etf_ticker"), "layout", "line", "both.holdings.*")
+    return _read(rows, reason, F.col("kept"), date, F.col("currency"))
 
 
 def decoded_documents(docs: DataFrame) -> DataFrame:
@@ -206,7 +205,7 @@ def decoded_documents(docs: DataFrame) -> DataFrame:
         F.col("content"), F.lit(r"(?i)data:application/csv[^\s\"'<>]+"), F.lit(0))
     spread = docs.select(*[c for c in docs.columns if c != "content"],
                          F.posexplode(addresses).alias("part", "address"))
-    return spread.withColumn("content", decoded_address(F.col("address"))).drop("address")
+    return with_computed(spread, {"content": decoded_address(F.col("address"))}).drop("address")
 
 
 def decoded_address(address) -> Column:
@@ -220,12 +219,9 @@ def decoded_address(address) -> Column:
 
 # --- sheets -------------------------------------------------------------------------
 
-def _positions(names, columns: dict) -> dict:
-    return {
-        name: delimited.column_position(
-            names, F.array(*[F.lit(a.strip().lower()) for a in aliases]), F.lit(True))
-        for name, aliases in columns.items()
-    }
+def _places(names, columns: dict) -> Column:
+    return F.transform(F.lit(_names(columns)), lambda aliases: delimited.column_position(
+        names, aliases, F.lit(True)))
 
 
 def _empty_cell(cell) -> Column:
@@ -234,35 +230,28 @@ def _empty_cell(cell) -> Column:
 
 def read_sheets(docs: DataFrame) -> DataFrame:
     """Sheets exported as delimited text, with free cells above the header."""
-    rows = docs.withColumn(
-        "cells", delimited.records(delimited.plain_lines(F.col("content"))))
+    rows = with_computed(docs, {
+        "cells": delimited.records(delimited.plain_lines(F.col("content")))})
 
     def is_header(row):
         names = delimited.header_names(row)
         return F.array_contains(names, "ticker") & F.exists(names, lambda n: n.contains("weight"))
 
-    rows = rows.withColumn("start", F.array_position(F.transform("cells", is_header), True))
-    above = F.filter(F.flatten(F.slice("cells", 1, F.greatest(F.col("start") - 1, F.lit(0)).cast("int"))),
-                     lambda cell: ~_empty_cell(cell))
-    rows = rows.withColumns({
-        "names": delimited.header_names(F.get("cells", (F.col("start") - 1).cast("int"))),
-        "date": as_of_text(F.array_join(above, " ")),
-        "body": F.slice("cells", (F.col("start") + 1).cast("int"), F.size("cells")),
+    rows = with_computed(rows, {
+        "start": F.array_position(F.transform("cells", is_header), True).cast("int")})
+    above = F.flatten(F.slice("cells", 1, F.greatest(F.col("start") - 1, F.lit(0))))
+    rows = with_computed(rows, {
+        "names": delimited.header_names(F.get("cells", F.col("start") - 1)),
+        "date": as_of_text(F.array_join(F.filter(above, lambda c: ~_empty_cell(c)), " ")),
+        "body": F.when(F.col("start") > 0, F.slice("cells", F.col("start") + 1, F.size("cells"))),
     })
-    places = _positions(F.col("names"), SHEET_COLUMNS)
-    rows = rows.withColumns({f"at_{name}": place for name, place in places.items()})
-
-    def value(record, name):
-        cell = _field(record, F.col(f"at_{name}"))
-        return F.when(~_empty_cell(cell), cell)
-
-    kept = F.filter("body", lambda r: value(r, "constituent_ticker").isNotNull()
-                    | value(r, "constituent_name").isNotNull())
-    rows = rows.withColumn("kept", F.when(F.col("start") > 0, kept))
-    holdings = F.transform("kept", lambda r: _holding(
-        {name: value(r, name) for name in SHEET_COLUMNS}, F.col("date")))
+    rows = with_computed(rows, {"places": _places(F.col("names"), SHEET_COLUMNS)})
+    stated = F.transform(_picked("body", F.col("places")), lambda holding: F.transform(
+        holding, lambda cell: F.when(~_empty_cell(cell), cell)))
+    rows = with_computed(rows, {"kept": F.filter(stated, lambda h: F.coalesce(
+        F.get(h, F.lit(0)), F.get(h, F.lit(1))).isNotNull())})
     reason = F.when(F.col("start") == 0, "no header line").when(F.size("kept") == 0, "no rows")
-    return rows.select(*_KEYS, reason.alias("reason"), holdings.alias("holdings"))
+    return _read(rows, reason, F.col("kept"), F.col("date"))
 
 
 # --- web pages ----------------------------------------------------------------------
@@ -275,19 +264,17 @@ def unescaped(text) -> Column:
     for name, character in _ENTITIES:
         text = F.replace(text, F.lit(name), F.lit(character))
 
-    def numbered(text, pattern, base):
-        codes = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-
+    def numbered(pattern, base):
         def put(done, code):
             digits = F.regexp_extract(code, pattern, 1)
             number = F.lpad(F.conv(digits, base, 16), 8, "0")
-            character = F.decode(F.unhex(number), "UTF-32")
-            return F.replace(done, code, character)
+            return F.replace(done, code, F.decode(F.unhex(number), "UTF-32"))
 
-        return F.aggregate(codes, text, put)
+        return lambda text: F.aggregate(
+            F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))), text, put)
 
-    text = numbered(text, r"&#([0-9]{1,7});", 10)
-    text = numbered(text, r"(?i)&#x([0-9a-f]{1,5});", 16)
+    text = bound(text, numbered(r"&#([0-9]{1,7});", 10))
+    text = bound(text, numbered(r"(?i)&#x([0-9a-f]{1,5});", 16))
     return F.replace(text, F.lit("&amp;"), F.lit("&"))
 
 
@@ -330,17 +317,14 @@ def read_pages(docs: DataFrame) -> DataFrame:
                 & F.exists(table["names"], lambda n: contains_any(n, HTML_WEIGHT_WORDS))
                 & (F.size(table["rows"]) > 0))
 
-    rows = docs.withColumn("tables", F.transform(page_tables(F.col("content")), usable))
-    rows = rows.withColumns({
-        "table": F.get(F.filter("tables", fits), F.lit(0)),
+    rows = with_computed(docs, {
+        "tables": F.transform(page_tables(F.col("content")), usable),
         "date": as_of_text(page_text(F.col("content"))),
     })
-    places = _positions(F.col("table.names"), HTML_TABLE_COLUMNS)
-    rows = rows.withColumns({f"at_{name}": place for name, place in places.items()})
-    holdings = F.transform("table.rows", lambda r: _holding(
-        {name: _field(r, F.col(f"at_{name}")) for name in HTML_TABLE_COLUMNS}, F.col("date")))
+    rows = with_computed(rows, {"table": F.get(F.filter("tables", fits), F.lit(0))})
+    rows = with_computed(rows, {"places": _places(F.col("table.names"), HTML_TABLE_COLUMNS)})
     reason = F.when(F.col("table").isNull(), "no holdings table")
-    return rows.select(*_KEYS, reason.alias("reason"), holdings.alias("holdings"))
+    return _read(rows, reason, _picked("table.rows", F.col("places")), F.col("date"))
 
 
 # Columns of a rendered holdings table by place, and the words its header must hold.
@@ -359,25 +343,23 @@ def read_placed_pages(docs: DataFrame) -> DataFrame:
     def fits(table):
         words = F.array(*[F.lit(word) for word in _PLACED_WORDS])
         return F.forall(words, lambda word: F.exists(
-            heads(table), lambda name: F.contains(name, word)))
+            table["names"], lambda name: F.contains(name, word)))
 
-    table = F.get(F.filter(_elements(F.col("content"), "table"), fits), F.lit(0))
-    rows = docs.withColumn("table", table).withColumn(
-        "date", page_date(page_text(F.col("content"))))
+    rows = with_computed(docs, {
+        "tables": F.transform(_elements(F.col("content"), "table"), lambda table: F.struct(
+            heads(table).alias("names"), table.alias("markup"))),
+        "date": page_date(page_text(F.col("content"))),
+    })
+    rows = with_computed(rows, {"table": F.get(F.filter("tables", fits), F.lit(0))["markup"]})
     body = F.flatten(F.transform(_elements(F.col("table"), "tbody"), lambda b: F.transform(
         _elements(b, "tr"), lambda r: F.transform(_elements(r, "td"), element_text))))
 
-    def holding(record):
-        values = {name: _field(record, F.lit(i)) for i, name in enumerate(_PLACED_COLUMNS)}
-        values["currency"] = F.lit("USD")
-        return _holding(values, F.col("date"))
-
-    stated = F.filter(body, lambda r: (F.size(r) >= len(_PLACED_COLUMNS)) & (
-        (_field(r, F.lit(0)) != "") | (_field(r, F.lit(2)) != "")))
-    rows = rows.withColumn("kept", stated)
+    places = F.lit([_PLACED_COLUMNS.index(n) if n in _PLACED_COLUMNS else -1 for n in RAW_FIELDS])
+    full = F.filter(body, lambda r: (F.size(r) >= len(_PLACED_COLUMNS)) & (
+        (F.get(r, F.lit(0)) != "") | (F.get(r, F.lit(2)) != "")))
+    rows = with_computed(rows, {"kept": full})
     reason = F.when(F.coalesce(F.size("kept"), F.lit(0)) == 0, "no holdings table")
-    return rows.select(
-        *_KEYS, reason.alias("reason"), F.transform("kept", holding).alias("holdings"))
+    return _read(rows, reason, _picked("kept", places), F.col("date"), F.lit("USD"))
 
 
 # --- JSON ---------------------------------------------------------------------------
@@ -391,23 +373,21 @@ def read_columnar_json(docs: DataFrame) -> DataFrame:
     points = "parsed." + ".".join(COLUMNAR_JSON_PATH)
     path = "$." + ".".join(COLUMNAR_JSON_PATH) + ".asOfDate.formattedValue"
     content = F.col("content")
-    rows = docs.withColumns({
+    columns = {canon: F.col(f"{points}.{name}.formattedValue")
+               for name, canon in COLUMNAR_JSON_FIELDS.items()}
+    rows = with_computed(docs, {
         "parsed": F.from_json(content, schema),
         "date": F.coalesce(F.get_json_object(content, path + "[0]"),
-                           F.get_json_object(content, path)),
+                           F.nullif(F.get_json_object(content, path), F.lit("[]"))),
     })
-    # The date column is not repeated per holding, so an empty list is no date.
-    rows = rows.withColumn("date", F.nullif("date", F.lit("[]")))
-    columns = {canon: F.col(f"{points}.{name}.formattedValue")
-               for name, canon in COLUMNAR_JSON_FIELDS.items()}
-    rows = rows.withColumns({f"c_{canon}": column for canon, column in columns.items()})
-    count = F.coalesce(F.size("c_constituent_ticker"), F.lit(0))
-    places = F.when(count > 0, F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0)))).otherwise(
-        F.array().cast("array<int>"))
-    holdings = F.transform(places, lambda i: _holding(
-        {canon: F.get(F.col(f"c_{canon}"), i) for canon in columns}, F.col("date")))
+    none = F.lit(None).cast(_TEXTS)
+    rows = with_computed(rows, {
+        "columns": F.array(*[columns.get(name, none) for name in RAW_FIELDS])})
+    count = F.coalesce(F.size(columns["constituent_ticker"]), F.lit(0))
+    lines = F.filter(F.sequence(F.lit(0), count), lambda i: i < count)
+    holdings = F.transform(lines, lambda i: F.transform("columns", lambda c: F.get(c, i)))
     reason = F.when(F.col(f"{points}.ticker").isNull(), "no data points")
-    return rows.select(*_KEYS, reason.alias("reason"), holdings.alias("holdings"))
+    return _read(rows, reason, holdings, F.col("date"))
 
 
 def read_row_json(docs: DataFrame) -> DataFrame:
@@ -419,18 +399,20 @@ def read_row_json(docs: DataFrame) -> DataFrame:
         T.StructField("IsTopTen", T.BooleanType()),
         T.StructField("AsOfDate", T.StringType()),
     ]))])
-    rows = docs.withColumn("parsed", F.from_json("content", schema))
-    rows = rows.withColumns({
+    rows = with_computed(docs, {"parsed": F.from_json("content", schema)})
+    rows = with_computed(rows, {
         "items": F.coalesce("parsed.data.Holdings", F.array().cast(T.ArrayType(item))),
         "date": F.col("parsed.data.AsOfDate"),
     })
 
     def holding(item):
-        values = {}
-        for canon, options in ROW_JSON_FIELDS.items():
-            first = [blank_to_null(item[name]) for name in options[:-1]]
-            values[canon] = F.coalesce(*first, item[options[-1]])
-        return _holding(values, F.col("date"))
+        values = []
+        for name in RAW_FIELDS:
+            options = [item[option] for option in ROW_JSON_FIELDS.get(name, [])]
+            first = [blank_to_null(option) for option in options[:-1]]
+            values.append(F.coalesce(*first, options[-1]) if options
+                          else F.lit(None).cast("string"))
+        return F.array(*values)
 
     count = F.size("items")
     reason = (
@@ -439,8 +421,7 @@ def read_row_json(docs: DataFrame) -> DataFrame:
               | ((count > 0) & (count < MIN_FULL_HOLDINGS)), "top holdings only")
         .when(count == 0, "no rows")
     )
-    return rows.select(
-        *_KEYS, reason.alias("reason"), F.transform("items", holding).alias("holdings"))
+    return _read(rows, reason, F.transform("items", holding), F.col("date"))
 
 
 # --- all layouts --------------------------------------------------------------------
@@ -459,11 +440,10 @@ def read_documents(docs: DataFrame) -> DataFrame:
 
     Keep the landing table partitioned by ``layout``: each reader then scans only its own.
     """
-    read = read_delimited(docs.filter(F.col("layout").isin(list(CSV_LAYOUTS)))).drop("accounts")
+    read = read_delimited(docs.filter(F.col("layout").isin(list(CSV_LAYOUTS))))
     for layout, reader in READERS.items():
         read = read.unionByName(reader(docs.filter(F.col("layout") == layout)))
     known = [*CSV_LAYOUTS, *READERS]
     unknown = docs.filter(~F.coalesce(F.col("layout").isin(known), F.lit(False)))
-    holdings = F.lit(None).cast(read.schema["holdings"].dataType)
-    return read.unionByName(unknown.select(
-        *_KEYS, F.lit("unknown layout").alias("reason"), holdings.alias("holdings")))
+    return read.unionByName(_read(
+        unknown, F.lit("unknown layout"), F.lit(None).cast(T.ArrayType(_TEXTS))))
