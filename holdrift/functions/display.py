@@ -28,7 +28,7 @@ def fixed_away(c, digits) -> Column:
     # two is exact. A nudge much smaller than the last digit then settles the direction.
     scaled = value * float(2 ** (digits + 1))
     on_half = (scaled == F.floor(scaled)) & (F.abs(F.pmod(scaled, F.lit(2.0))) == 1)
-    nudged = value + F.signum(value) * 2.0 ** -(digits + 4)
+    nudged = value + F.signum(value) * 2.0 ** -(4 * digits + 4)
     return fixed(F.when(on_half, nudged).otherwise(value), digits)
 
 

@@ -247,7 +247,7 @@ def short_shares(spark, folder):
 def _away(value, digits):
     """Decimals of a double with exact halves away from zero, as SQL."""
     scaled = f"({value} * {2 ** (digits + 1)})"
-    nudge = 2.0 ** -(digits + 4)
+    nudge = 2.0 ** -(4 * digits + 4)
     return (f"printf('%.{digits}f', CASE WHEN {scaled} = floor({scaled}) AND "
             f"abs(CAST({scaled} AS HUGEINT) % 2) = 1 THEN {value} + sign({value}) * "
             f"CAST({nudge!r} AS DOUBLE) ELSE {value} END)")
