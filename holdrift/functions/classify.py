@@ -8,14 +8,14 @@ from holdrift.fixed_values import (
     DERIVATIVE, DERIVATIVE_WORDS, EQUITY, FX, LABEL_RULES, RESIDUAL, TRACKED_TYPES,
     UNTYPED_ROW_CURRENCY_CODES,
 )
-from holdrift.functions.text import blank_to_null, contains_any, strip
+from holdrift.functions.text import blank_to_null, bound, contains_any, strip
 
 
 def label_type(c) -> Column:
     """Instrument type told by a provider's asset-class label, else NULL."""
-    label = F.lower(strip(c))
-    rules = F.array(*[F.lit([text, kind]) for text, kind in LABEL_RULES])
-    return F.get(F.get(F.filter(rules, lambda rule: F.contains(label, rule[0])), F.lit(0)), F.lit(1))
+    rules = F.lit([list(rule) for rule in LABEL_RULES])
+    return bound(F.lower(strip(c)), lambda label: F.get(F.get(
+        F.filter(rules, lambda rule: F.contains(label, rule[0])), F.lit(0)), F.lit(1)))
 
 
 def with_instrument_type(df: DataFrame, label="asset_class") -> DataFrame:

@@ -131,7 +131,8 @@ def contains_any(text, words) -> Column:
 
     A loop over a constant array: a chain of tests would generate methods too long to compile.
     """
-    return F.exists(F.lit(list(words)), lambda word: F.contains(text, word))
+    return bound(text, lambda whole: F.exists(
+        F.lit(list(words)), lambda word: F.contains(whole, word)))
 
 
 def search(query, fields) -> Column:

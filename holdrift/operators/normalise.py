@@ -50,13 +50,15 @@ def fractional_batches(rows: DataFrame, batch) -> DataFrame:
     ).select(*batch)
 
 
-def scaled_weights(rows: DataFrame, batch) -> DataFrame:
+def scaled_weights(rows: DataFrame, batch, stated: DataFrame | None = None) -> DataFrame:
     """Weights on the scale of 0 to 100.
 
-    The scale is found by aggregation, so that the rows of one large batch need not meet
-    in one task; the few fractional batches then join back.
+    The scale is found by aggregation (over ``stated``, the same rows, if given), so that
+    the rows of one large batch need not meet in one task; the few fractional batches then
+    join back.
     """
-    marks = join_side(fractional_batches(rows, batch)).withColumn("_fraction", F.lit(True))
+    found = fractional_batches(rows if stated is None else stated, batch)
+    marks = join_side(found).withColumn("_fraction", F.lit(True))
     marked = rows.join(marks, list(batch), "left")
     weight = F.when(F.col("_fraction"), F.col("weight_pct") * 100.0).otherwise(F.col("weight_pct"))
     return marked.withColumn("weight_pct", weight).drop("_fraction")
@@ -84,10 +86,13 @@ def normalised(raw: DataFrame, batch=("etf_ticker",), default_date=None, lookup=
     A batch is what one provider document holds. ``lookup`` (see ``isin_lookup``) fills
     missing ISINs, after classification or, with ``resolve_first``, before it.
     """
-    rows = cleaned(raw, batch, default_date)
+    # Documents differ in size by far, and cleaning a row costs much more than moving it. The
+    # scale needs only the weights, which are read where they are.
+    rows = cleaned(raw.hint("rebalance"), batch, default_date)
     if lookup is not None and resolve_first:
         rows = fill_isins(rows, lookup)
-    rows = scaled_weights(rows, batch).filter(has_identity() | has_quantity())
+    rows = scaled_weights(rows, batch, stated=cleaned(raw, batch))
+    rows = rows.filter(has_identity() | has_quantity())
     rows = rows.withColumn("partial_row", ~has_identity())
     rows = tag_cash(with_instrument_type(rows))
     if lookup is not None and not resolve_first:
