@@ -50,7 +50,8 @@ def coverage(status: DataFrame, universe: DataFrame) -> DataFrame:
     listed = universe.select("etf_ticker", F.coalesce("enabled", F.lit(True)).alias("active"))
     state = F.col("status")
     return listed.join(status.select("etf_ticker", "status"), "etf_ticker", "full_outer").agg(
-        F.count_if(F.col("active")).alias("tracked"),
+        # A fund with several documents has several statuses but is tracked once.
+        F.count_distinct(F.when(F.col("active"), F.col("etf_ticker"))).alias("tracked"),
         F.count_if(state == "ingested").alias("ingested"),
         F.count_if(state == "skipped").alias("skipped"),
         F.count_if(state.isin("failed", "no_data", "future_date")).alias("failed"),
