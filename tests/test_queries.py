@@ -3,8 +3,9 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from workload.check import compare, views
+from workload.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -17,7 +18,7 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
@@ -25,7 +26,7 @@ def test_entry(spark):
     assert found.count() > 0 and "delta_type" in found.columns
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, connection, name):
-    same, _, _, message = compare(spark, connection, name, queries()[name], oracle_sql()[name], FOLDER)
+    same, _, _, message = compare(spark, connection, name, QUERIES[name], ORACLES[name], FOLDER)
     assert same, message
