@@ -1,4 +1,4 @@
 """Imports every module that registers queries of this package."""
 
-from holdrift.llm import op7_query  # noqa: F401
+from holdrift.llm import op1_query, op2_query, op4_query, op7_query  # noqa: F401
 from holdrift.llm.registry import ORACLES, QUERIES  # noqa: F401
