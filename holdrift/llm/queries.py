@@ -1,4 +1,7 @@
 """Imports every module that registers queries of this package."""
 
-from holdrift.llm import op1_query, op10_query, op2_query, op3_query, op4_query, op7_query, op8_query, op9_query  # noqa: F401
+from holdrift.llm import (  # noqa: F401
+    op1_query, op2_query, op3_query, op4_query, op5_query, op6_query, op7_query, op8_query, op9_query,
+    op10_query,
+)
 from holdrift.llm.registry import ORACLES, QUERIES  # noqa: F401
