@@ -169,3 +169,10 @@ def decontaminated(documents: DataFrame, items: DataFrame, length: int = 10) ->
         heads["doc_id"], "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         F.col("n_hit").isNotNull().alias("contaminated"))
+
+
+def clean_rows(documents: DataFrame, items: DataFrame, length: int = 10) -> DataFrame:
+    """The rows of ``documents`` whose id has no hit, with all their columns."""
+    found = decontaminated(documents, items, length)
+    hit = small_side(stored(found.where("contaminated").select(F.col("doc_id").alias("hit_id")).distinct()))
+    return documents.join(hit, documents["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")

@@ -317,3 +317,20 @@ def _links_between(tokens: DataFrame, comps: DataFrame, sets: DataFrame, like: S
         "key", "part", "comp", "block", F.lit(False).alias("asks"), "node")
     queries = opened.select("key", "part", "comp", "block", F.lit(True).alias("asks"), "node")
     return opened_links(members.unionByName(queries).join(sets, "node"), like)
+
+
+def one_of_each(documents: DataFrame, like: Similarity = Similarity()) -> DataFrame:
+    """``documents`` with one row of each component, that of the smallest doc_id, and all columns.
+
+    Repeated rows of that doc_id are reduced to one by text. Rows without an id cannot be
+    told apart and stay; an id that stands for several texts goes with any of them.
+    """
+    rows = stored(joined(documents, like))
+    dropped = small_side(stored(rows.where("doc_id != component_id").select("doc_id").distinct()))
+    kept = documents.join(dropped, "doc_id", "left_anti").select(*documents.columns)
+    twice = stored(rows.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if twice.isEmpty():
+        return kept
+    twice = small_side(twice)
+    return kept.join(twice, "doc_id", "left_anti").unionByName(
+        kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])).select(*documents.columns)
