@@ -14,10 +14,11 @@ from holdrift.functions.text import blank_to_null
 from holdrift.operators.deltas import ADDITION, CHANGE, REMOVAL
 from holdrift.plans.joins import join_side, local_table
 
-_GROUP_TABLE = T.StructType([
-    T.StructField("etf_ticker", T.StringType()),
+_LISTINGS = T.StructType([
+    T.StructField("group_no", T.IntegerType()),
     T.StructField("group_key", T.StringType()),
-    T.StructField("group_rank", T.IntegerType()),
+    T.StructField("place", T.IntegerType()),
+    T.StructField("etf_ticker", T.StringType()),
 ])
 
 DETAIL_COLUMNS = [
@@ -27,20 +28,20 @@ DETAIL_COLUMNS = [
 
 
 def group_table(spark: SparkSession, groups) -> DataFrame:
-    """Listings of one fund on several exchanges: (fund, first listed fund, position)."""
-    rows = {}
-    order = {}
-    for listed in groups or []:
-        for fund in listed:
-            rows[fund] = listed[0]
-        if listed:
-            order[listed[0]] = listed
-    return local_table(
-        spark,
-        [(fund, key, order[key].index(fund) if fund in order[key] else 0)
-         for fund, key in rows.items()],
-        _GROUP_TABLE,
-    )
+    """Listings of one fund on several exchanges: (etf_ticker, group_key, group_rank).
+
+    A group is named by its first listing, and a fund belongs to the last group that lists it. Its
+    rank is its place in the last group of that name, or 0 if it is not listed there.
+    """
+    listings = local_table(spark, [
+        (number, listed[0], place, fund)
+        for number, listed in enumerate(groups or []) for place, fund in enumerate(listed)], _LISTINGS)
+    belongs = listings.groupBy("etf_ticker").agg(F.max_by("group_key", "group_no").alias("group_key"))
+    latest = listings.groupBy("group_key").agg(F.max("group_no").alias("group_no"))
+    ranks = listings.join(latest, ["group_key", "group_no"]).groupBy("group_key", "etf_ticker").agg(
+        F.min("place").alias("group_rank"))
+    return belongs.join(ranks, ["group_key", "etf_ticker"], "left").select(
+        "etf_ticker", "group_key", F.coalesce("group_rank", F.lit(0)).alias("group_rank"))
 
 
 def with_group(rows: DataFrame, groups) -> DataFrame:

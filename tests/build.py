@@ -38,8 +38,8 @@ _DELTA = ("etf_ticker string, isin string, constituent_ticker string, constituen
           "delta_market_value double")
 
 
-def delta(fund, isin, weight=0.0, kind="change", name="Newmont", value=1000.0, shares=100.0,
-          ticker="NEM"):
+def delta(fund, isin, weight=0.0, kind="change", name="Harbour Mills", value=250.0, shares=40.0,
+          ticker="HBM"):
     return (fund, isin, ticker, name, kind, weight, shares, value)
 
 

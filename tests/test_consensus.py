@@ -1,8 +1,13 @@
+import random
+
+import pytest
+
 from holdrift.operators import consensus, digest
 from tests.build import delta, deltas, rows
 
-GROUPS = [["GDX", "GDX.L", "GDX-ASX"], ["GDXJ", "GDXJ.L"], ["COPX", "4COP"]]
-ISIN = "US6516391066"
+GROUPS = [["ALP", "ALP.X", "ALP.Y"], ["BET", "BET.X"], ["GAM.X", "GAM"]]
+FUNDS = [fund for group in GROUPS for fund in group] + ["DEL", "EPS"]
+ISIN = "XX0000000019"
 
 
 def one(spark, given, groups=GROUPS):
@@ -10,38 +15,42 @@ def one(spark, given, groups=GROUPS):
     return consensus.signals(votes).collect(), [r.etf_ticker for r in votes.collect()]
 
 
-def test_listings_of_one_fund_are_one_vote(spark):
-    [signal], funds = one(spark, [delta("GDX", ISIN, 0.5), delta("GDX-ASX", ISIN, 0.4)])
-    assert (signal.n_etfs, signal.n_etfs_weight_up, funds) == (1, 1, ["GDX"])
-
-
-def test_other_funds_are_votes_of_their_own(spark):
-    [signal], funds = one(spark, [delta("GDX", ISIN, 0.5), delta("RING", ISIN, 0.3)])
-    assert (signal.n_etfs, signal.n_etfs_weight_up, set(funds)) == (2, 2, {"GDX", "RING"})
-
-
-def test_first_listing_present_votes(spark):
-    [signal], funds = one(spark, [delta("GDX-ASX", ISIN, 0.4)])
-    assert (signal.n_etfs, funds) == (1, ["GDX-ASX"])
-
-
-def test_second_group(spark):
-    [signal], funds = one(spark, [delta("4COP", "CU0000000001", 0.4), delta("COPX", "CU0000000001", 0.5)])
-    assert (signal.n_etfs, funds) == (1, ["COPX"])
-
-
-def test_without_groups_nothing_collapses(spark):
-    [signal], _ = one(spark, [delta("GDX", ISIN, 0.5), delta("GDX-ASX", ISIN, 0.4)], None)
-    assert signal.n_etfs == 2
-
-
-def test_consensus_needs_two_groups(spark):
-    def kept(given):
-        votes = consensus.details(deltas(spark, given), GROUPS)
-        return consensus.converging(consensus.signals(votes), 2).count()
-
-    assert kept([delta("GDX", ISIN, 0.5), delta("GDX-ASX", ISIN, 0.4)]) == 0
-    assert kept([delta("GDX", ISIN, 0.5), delta("RING", ISIN, 0.3)]) == 1
+@pytest.mark.parametrize("groups", [GROUPS, None])
+def test_votes_and_signals_of_random_deltas(spark, groups):
+    """One vote per security and group, that of the listing named first; counted by hand."""
+    rng = random.Random(11)
+    isins = [f"XX00000000{k}7" for k in range(10, 30)]
+    given = [delta(fund, isin, rng.choice([-0.5, 0.0, 0.5]), rng.choice(["change", "addition", "removal"]),
+                   value=float(rng.randrange(-9, 9)))
+             for isin in isins for fund in FUNDS if rng.random() < 0.4]
+    votes = {}
+    for row in given:
+        group = next((g for g in groups or [] if row[0] in g), [row[0]])
+        key, place = (row[1], group[0]), group.index(row[0])
+        if key not in votes or place < votes[key][0]:
+            votes[key] = (place, row)
+    chosen = [row for _, row in votes.values()]
+    details = consensus.details(deltas(spark, given), groups)
+    assert rows(details, "isin", "etf_ticker") == sorted([(r[1], r[0]) for r in chosen], key=repr)
+    wanted = []
+    for isin in sorted({r[1] for r in chosen}):
+        of = [r for r in chosen if r[1] == isin]
+        wanted.append((isin, len(of), sum(r[5] > 0 for r in of), sum(r[5] < 0 for r in of),
+                       sum(r[4] == "addition" for r in of), sum(r[4] == "removal" for r in of),
+                       sum(r[7] for r in of)))
+    signals = consensus.signals(details)
+    assert rows(signals, "isin", "n_etfs", "n_etfs_weight_up", "n_etfs_weight_down", "n_etfs_added",
+                "n_etfs_removed", "total_delta_market_value") == wanted
+    for least in (1, 2, 4):
+        assert consensus.converging(signals, least).count() == sum(w[1] >= least for w in wanted)
+
+
+def test_groups_as_a_table(spark):
+    """The last group of a fund decides, and its rank is its place there."""
+    groups = [["A", "B", "C"], ["D", "B"], ["A", "E", "C"], [], ["F"]]
+    assert rows(consensus.group_table(spark, groups)) == [
+        ("A", "A", 0), ("B", "D", 1), ("C", "A", 2), ("D", "D", 0), ("E", "A", 1), ("F", "F", 0)]
+    assert rows(consensus.group_table(spark, None)) == []
 
 
 def test_rows_that_cannot_be_joined_do_not_vote(spark):
@@ -62,14 +71,14 @@ def test_counts_and_names(spark):
 def test_collapsed_moves_stay_apart_by_kind(spark):
     from pyspark.sql import functions as F
     moves = deltas(spark, [
-        delta("GDX-ASX", ISIN, kind="addition"), delta("GDX", ISIN, kind="change"),
-        delta("GDX.L", ISIN, kind="change"), delta("GDX", None, ticker="T"),
-        delta("GDX-ASX", "", ticker="T"), delta("RING", None, ticker="T")]).withColumn(
+        delta("ALP.Y", ISIN, kind="addition"), delta("ALP", ISIN, kind="change"),
+        delta("ALP.X", ISIN, kind="change"), delta("ALP", None, ticker="T"),
+        delta("ALP.Y", "", ticker="T"), delta("DEL", None, ticker="T")]).withColumn(
         "source", F.lit("web_csv"))
     found = consensus.collapse_moves(moves, GROUPS)
     assert rows(found, "etf_ticker", "delta_type", "constituent_ticker") == sorted([
-        ("GDX-ASX", "addition", "NEM"), ("GDX", "change", "NEM"), ("GDX", "change", "T"),
-        ("RING", "change", "T")], key=repr)
+        ("ALP.Y", "addition", "HBM"), ("ALP", "change", "HBM"), ("ALP", "change", "T"),
+        ("DEL", "change", "T")], key=repr)
 
 
 def test_rescoped_signals_are_counted_again(spark):
@@ -117,4 +126,4 @@ def test_signal_lines(spark):
     votes = consensus.details(deltas(spark, [
         delta("A", ISIN, 1.0), delta("B", ISIN, 1.0), delta("C", ISIN, -1.0)]))
     [line] = digest.signal_lines(consensus.signals(votes), votes).collect()
-    assert line.line == "Newmont (NEM): wt ↑ in A, B"
+    assert line.line == "Harbour Mills (HBM): wt ↑ in A, B"

@@ -64,15 +64,15 @@ def test_isins(spark):
 def test_tickers_and_names(spark):
     assert values(spark, text.base_ticker, ["FCX US", "bhp.ax", " eur au ", "", None, ".X", "A\tB"]) == [
         "FCX", "BHP", "EUR", None, None, None, "A"]
-    assert values(spark, text.normal_name, ["Newmont Corp.", "AB Co-Ltd S.A.", "Ltd", None]) == [
-        "NEWMONT", "S A", None, None]
+    assert values(spark, text.normal_name, ["Harbour Mills Corp.", "AB Co-Ltd S.A.", "Ltd", None]) == [
+        "HARBOUR MILLS", "S A", None, None]
 
 
 def test_search(spark):
-    df = spark.createDataFrame([("GDX", None, "Newmont"), ("COPX", "FCX", "Freeport")],
+    df = spark.createDataFrame([("ALP", None, "Harbour"), ("BET", "HBM", "Freeborn")],
                                "a string, b string, c string")
-    assert df.filter(text.search("  newm", ["a", "b", "c"])).count() == 1
-    assert df.filter(text.search("gdx  newm", ["a", "b", "c"])).count() == 1
+    assert df.filter(text.search("  harb", ["a", "b", "c"])).count() == 1
+    assert df.filter(text.search("alp  harb", ["a", "b", "c"])).count() == 1
     assert df.filter(text.search("", ["a"])).count() == 2
 
 

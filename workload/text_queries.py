@@ -6,7 +6,8 @@ Spark reads messy text made from the given tables; the SQL states what it has to
 from pyspark.sql import functions as F
 
 from holdrift.fixed_values import (
-    CASH_WORDS, CURRENCY_WORDS, DERIVATIVE_WORDS, TEXT_PLACEHOLDERS,
+    CASH_WORDS, COMPANY_FORM_WORDS, CURRENCY_CODES, CURRENCY_WORDS, DERIVATIVE_WORDS, LABEL_RULES,
+    TEXT_PLACEHOLDERS,
 )
 from holdrift.functions import display, text
 from holdrift.functions.classify import is_tracked_type, label_type, with_instrument_type
@@ -125,11 +126,13 @@ def normal_names(spark, folder):
     return load(spark, folder, "part").select("p_partkey", text.normal_name(stated).alias("name"))
 
 
-@query("names_of_whole_texts", r"""
+_FORMS = ", ".join(f"'{word}'" for word in COMPANY_FORM_WORDS)
+
+
+@query("names_of_whole_texts", rf"""
 SELECT turn, conv_id, nullif(array_to_string(list_filter(
   regexp_split_to_array(regexp_replace(upper(replace(text, 'ß', 'ss')), '[^A-Z0-9]+', ' ', 'g'), ' '),
-  lambda w: w <> '' AND w NOT IN ('LTD', 'LIMITED', 'INC', 'INCORPORATED', 'CORP', 'CORPORATION',
-    'COMPANY', 'CO', 'PLC', 'AG', 'SA', 'NV', 'SE', 'ASA', 'AB', 'OYJ', 'SAB', 'CV', 'CLASS')),
+  lambda w: w <> '' AND w NOT IN ({_FORMS})),
   ' '), '') AS name FROM conversations""")
 def names_of_whole_texts(spark, folder):
     return load(spark, folder, "conversations").select(
@@ -148,17 +151,18 @@ def text_search(spark, folder):
 
 # --- classification -------------------------------------------------------------------
 
+# Inputs made from the rules: each marker, alone and beside others, and the edges.
 _MESSY_LABELS = (
-    "Equity", "Cash and/or Derivatives", " Money Market ", "FUTURES", "Equity Option",
-    "Foreign Exchange", "Fixed Income", "Common Stock", "Depositary Receipt", "", "Gold", None,
-    "Preferred Shares", "REIT",
+    *[f" {words.upper()} a" for words, _ in LABEL_RULES], *[f"Zz {words}" for words, _ in LABEL_RULES[::3]],
+    "", None, "unheard of",
 )
 _NAMES = (
-    "Newmont Corp", "CANADIAN DOLLAR", "OTHER PAYABLE & RECEIVABLES", "USD/CAD FX FORWARD",
-    "ROLLING CONTRACT", "BHP GROUP LTD", "EUROPEAN LITHIUM LTD", "Copper Fut Jul26",
-    "REAL GOLD MINING", "Hedge Co", "", None, "S&P Fut. Z6",
+    *[f"Zz {word} Zz" for word in CASH_WORDS[::2] + DERIVATIVE_WORDS[::2] + CURRENCY_WORDS[::2]],
+    *[word.upper() for word in CASH_WORDS[1::5] + DERIVATIVE_WORDS[1::5] + CURRENCY_WORDS[1::5]],
+    *[f"{a} {b}" for a, b in zip(CURRENCY_WORDS, DERIVATIVE_WORDS[::4] + CASH_WORDS[::4])],
+    "Quiet Harbour", "", None,
 )
-_TICKERS = ("NEM", "CAD", None, "", "ABC1", "BHP", "EUR", " usd ", "FUT", "CALL", "RUB")
+_TICKERS = (*CURRENCY_CODES[::4], f" {CURRENCY_CODES[1].lower()} ", "QHB", "fut", "", None, "put")
 
 
 def _pick(values, key, step):
