@@ -290,6 +290,20 @@ HTML_TABLE_COLUMNS = {
     "country": ["Country"],
     "asset_class": ["Asset Class", "Security Type"],
 }
+# Columns of a rendered holdings table by place, and the words its header must hold.
+PLACED_TABLE_COLUMNS = [
+    "constituent_name", "market_value", "constituent_ticker", "sedol", "shares_held", "weight_pct"]
+PLACED_TABLE_WORDS = ["security", "market value", "symbol", "sedol", "quantity", "weight"]
+
+# Tabular text inside an address: up to the quote it was opened with, else to white space.
+DATA_ADDRESS_PATTERN = (
+    r'''(?i)"data:application/csv[^"]*"|'data:application/csv[^']*'|data:application/csv\S+''')
+DATA_ADDRESS_BODY = r"(?is)data:application/csv[^,]*,(.+)"
+
+# How a web page begins, or what its first characters hold.
+PAGE_STARTS = ["<!doctype html", "<html"]
+PAGE_MARKERS = ["<head>"]
+
 HTML_NAME_WORDS = ["name", "ticker", "security"]
 HTML_WEIGHT_WORDS = ["weight", "%"]
 

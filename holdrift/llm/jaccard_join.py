@@ -4,14 +4,15 @@ Documents are sets of word shingles; two are linked when their Jaccard similarit
 percentage. Equal sets are one class from the start, so copies never meet each other.
 
 - Tokens have one order for all: cold before hot, then by hash. The prefix of a set holds so many of
-  its first tokens that two similar sets share at least ``SHARED`` of theirs.
+  its first tokens that two similar sets share a twentieth of the smaller one in their prefixes.
+  A passage that unrelated documents share seldom reaches that.
 - Similar classes form groups: those with the same first shared token, at most about
   ``GROUP_SIZE`` each; a larger group is dealt out, and all parts get its first class as a guest.
 - Within a group all links are found in one task, from a matrix of members and tokens. The guest connects the
   parts of a large group of near copies without comparing them with each other.
 - The token-group matrix holds the union of the prefix tokens of each group. Between classes that
   are not connected yet, the overlap of a class with that union bounds its overlap with every
-  member. Only groups whose bound reaches ``SHARED`` are opened and compared in full.
+  member. Only groups whose bound is high enough are opened and compared in full.
 
 So every link between different sets is either found or lies inside a component already; the
 components are exact. Which tokens are hot changes the work, not the result.
@@ -27,17 +28,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdrift.llm import shingles
 from holdrift.llm.components import components
 from holdrift.llm.tables import small_side, stored
 
-SHARED = 3  # prefix tokens that two linked sets have in common at least
+LEAST_SHARED = 3
+SHARED_PART = 20  # linked sets have a twentieth of the smaller set in common in their prefixes
 GROUP_SIZE = 256
 HOT_TOKENS = 1 << 17  # how many of the most frequent tokens are ordered last
-HOT_FROM = 50  # documents
+HOT_FROM = 10  # documents
+_BLOCK_TOKENS = 4_000_000
 _BATCH = 500  # rows of one Arrow batch with sets
 _MATRIX_CELLS = 8_000_000
 
@@ -53,7 +56,12 @@ class Similarity:
         """Prefix of a set of n tokens; 0 if no different set can be similar to it."""
         if n * (100 - self.percent) < self.percent:
             return 0
-        return min(n, n - -(-self.percent * n // 100) + SHARED)
+        return min(n, n - -(-self.percent * n // 100) + max(LEAST_SHARED, n // SHARED_PART))
+
+
+def _shared(n: Column) -> Column:
+    """How many prefix tokens a set of n tokens shares with a linked set that is not smaller."""
+    return F.greatest(F.floor(n / SHARED_PART), F.lit(LEAST_SHARED))
 
 
 def _int64(tokens: np.ndarray) -> np.ndarray:
@@ -67,25 +75,36 @@ def _lists(parts: list) -> pa.Array:
 
 
 def token_counts(documents: DataFrame, like: Similarity) -> DataFrame:
-    """(token, n): in how many documents the tokens stand that can come early in the order.
+    """(token, n): in how many documents the tokens stand that are frequent somewhere.
 
     Prefixes hold the smallest hashes of a set, so only hashes below a bound of the hash range count.
+    A token that stands in one document of a block is left out there, which keeps the shuffle small: the
+    numbers are lower bounds, good enough for an order.
     """
-    share = min(1.0, 2.5 * (100 - like.percent) / 100)
+    share = min(1.0, 1.3 * ((100 - like.percent) / 100 + 1 / SHARED_PART))
     bound = np.uint64(min(int(share * 2 ** 64), 2 ** 64 - 1))
 
     def count(batches):
-        cache = shingles.WordHashes()
-        for batch in batches:
-            found = [np.zeros(0, np.uint64)]
-            for text in batch.column(0):
-                tokens = shingles.shingle_set(shingles.word_hashes(text.as_py(), cache), like.length)
-                found.append(tokens[:np.searchsorted(tokens, bound)])
-            tokens, n = np.unique(np.concatenate(found), return_counts=True)
+        cache, parts, size = shingles.WordHashes(), [], 0
+
+        def counted():
+            tokens, n = np.unique(np.concatenate(parts), return_counts=True)
+            tokens, n = tokens[n > 1], n[n > 1]
             for k in range(0, len(tokens), 500_000):
                 yield pa.record_batch([pa.array(_int64(tokens[k:k + 500_000])), pa.array(n[k:k + 500_000])],
                                       names=["token", "n"])
 
+        for batch in batches:
+            for text in batch.column(0):
+                tokens = shingles.shingle_set(shingles.word_hashes(text.as_py(), cache), like.length)
+                parts.append(tokens[:np.searchsorted(tokens, bound)].copy())
+                size += len(parts[-1])
+                if size >= _BLOCK_TOKENS:
+                    yield from counted()
+                    parts, size = [], 0
+        if size:
+            yield from counted()
+
     counted = documents.select("text").mapInArrow(count, "token long, n long")
     return counted.groupBy("token").agg(F.sum("n").alias("n"))
 
@@ -97,6 +116,13 @@ def hot_tokens(documents: DataFrame, like: Similarity) -> np.ndarray:
     return np.sort(np.array([row[0] for row in rows], np.int64).view(np.uint64))
 
 
+def _among(tokens: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which tokens stand in the sorted array ``known``."""
+    if not len(known):
+        return np.zeros(len(tokens), bool)
+    return known[np.minimum(np.searchsorted(known, tokens), len(known) - 1)] == tokens
+
+
 def described(documents: DataFrame, like: Similarity, hot: np.ndarray) -> DataFrame:
     """doc_id, n_shingles, digest of the set (null without words) and its prefix."""
     shared = documents.sparkSession.sparkContext.broadcast(hot)
@@ -109,7 +135,7 @@ def described(documents: DataFrame, like: Similarity, hot: np.ndarray) -> DataFr
                 tokens = shingles.shingle_set(shingles.word_hashes(text.as_py(), cache), like.length)
                 size = like.prefix_size(len(tokens))
                 if size:
-                    is_hot = np.isin(tokens, hot, assume_unique=True)
+                    is_hot = _among(tokens, hot)
                     prefixes.append(np.concatenate([tokens[~is_hot], tokens[is_hot]])[:size])
                 else:
                     prefixes.append(tokens[:0])
@@ -124,26 +150,30 @@ def described(documents: DataFrame, like: Similarity, hot: np.ndarray) -> DataFr
 
 
 def token_sets(documents: DataFrame, wanted: DataFrame, like: Similarity) -> DataFrame:
-    """(node, tokens) of the classes ``wanted`` (node, digest, min_id), one row each.
+    """(node, tokens) of the classes ``wanted`` (node, digest, min_id).
 
     One document of a class is found by its smallest id; its digest tells that it is of the class.
+    Rows that repeat the id give the set once per task, and more than once does no harm.
     """
     ids = small_side(wanted.select("min_id").distinct())
     texts = documents.select("doc_id", "text").join(
         ids, F.col("doc_id").eqNullSafe(F.col("min_id")), "left_semi")
 
     def sets(batches):
-        cache = shingles.WordHashes()
+        cache, given = shingles.WordHashes(), set()
         for batch in batches:
             for k in range(0, batch.num_rows, _BATCH):
-                found = [shingles.shingle_set(shingles.word_hashes(text.as_py(), cache), like.length)
-                         for text in batch.column(1).slice(k, _BATCH)]
-                yield pa.record_batch([pa.array([shingles.digest(t) for t in found], pa.binary()), _lists(found)],
+                found = {}
+                for text in batch.column(1).slice(k, _BATCH):
+                    tokens = shingles.shingle_set(shingles.word_hashes(text.as_py(), cache), like.length)
+                    found[shingles.digest(tokens)] = tokens
+                found = {digest: tokens for digest, tokens in found.items() if digest not in given}
+                given.update(found)
+                yield pa.record_batch([pa.array(list(found), pa.binary()), _lists(list(found.values()))],
                                       names=["digest", "tokens"])
 
     found = texts.mapInArrow(sets, "digest binary, tokens array<long>")
-    small = small_side(wanted.select("node", "digest"))
-    return stored(found.join(small, "digest").select("node", "tokens").dropDuplicates(["node"]))
+    return stored(found.join(small_side(wanted.select("node", "digest")), "digest").select("node", "tokens"))
 
 
 def intersections(left: list, right: list) -> np.ndarray:
@@ -254,11 +284,13 @@ def joined(documents: DataFrame, like: Similarity = Similarity()) -> DataFrame:
             F.min("doc_id").alias("min_id"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"))
         .withColumn("node", F.monotonically_increasing_id()))
 
-    tokens = classes.select("node", "n", F.explode("prefix").alias("token"))
+    tokens = classes.select("node", F.explode("prefix").alias("token"))
     common = tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
     tokens = stored(tokens.join(common, "token"))
-    active = tokens.groupBy("node").agg(F.count("*").alias("common"), F.min("token").alias("key")).where(
-        F.col("common") >= SHARED)
+    sizes = classes.select("node", "n")
+    active = stored(tokens.groupBy("node").agg(F.count("*").alias("common"), F.min("token").alias("key")).join(
+        sizes, "node").where(F.col("common") >= _shared(F.ceil(F.col("n") * like.percent / 100))))
+    tokens = tokens.join(active.select("node", "n"), "node")
     keyed = _parts(stored(active.select("node", "key")), "key").where("size > 0")
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     groups = stored(keyed.select("node", "key", part.alias("part"), "size", "parts", "first"))
@@ -269,7 +301,7 @@ def joined(documents: DataFrame, like: Similarity = Similarity()) -> DataFrame:
     dealt = groups.where("parts > 1").groupBy("key").agg(
         F.first("first").alias("node"), F.first("parts").alias("parts"))
     guests = dealt.select("node", "key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    members = own.unionByName(guests).distinct().join(sets, "node")
+    members = sets.join(small_side(stored(own.unionByName(guests).distinct())), "node")
     links = stored(group_links(members, like))
 
     found = components(links)
@@ -308,15 +340,17 @@ def _links_between(tokens: DataFrame, comps: DataFrame, sets: DataFrame, like: S
         100 * F.col("m.most_n") >= like.percent * F.col("q.n"))
     bounds = asking.join(matrix, (F.col("q.token") == F.col("m.token")) & larger & fits).groupBy(
         F.col("q.node").alias("node"), F.col("m.key").alias("key"), F.col("m.part").alias("part"),
-        F.col("m.comp").alias("comp")).agg(F.count("*").alias("bound"))
-    opened = _parts(stored(bounds.where(F.col("bound") >= SHARED).drop("bound")), "key", "part", "comp")
+        F.col("m.comp").alias("comp")).agg(
+            F.count("*").alias("bound"), F.least(F.first("q.n"), F.min("m.least_n")).alias("least_n"))
+    opened = bounds.where(F.col("bound") >= _shared(F.col("least_n"))).select("node", "key", "part", "comp")
+    opened = _parts(stored(opened), "key", "part", "comp")
     opened = stored(opened.withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")))
     blocks = opened.select("key", "part", "comp", "parts").distinct().select(
         "key", "part", "comp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("block"))
     members = comps.join(blocks, ["key", "part", "comp"]).select(
         "key", "part", "comp", "block", F.lit(False).alias("asks"), "node")
     queries = opened.select("key", "part", "comp", "block", F.lit(True).alias("asks"), "node")
-    return opened_links(members.unionByName(queries).join(sets, "node"), like)
+    return opened_links(sets.join(small_side(stored(members.unionByName(queries))), "node"), like)
 
 
 def one_of_each(documents: DataFrame, like: Similarity = Similarity()) -> DataFrame:

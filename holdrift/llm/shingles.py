@@ -20,11 +20,6 @@ class WordHashes(dict):
         return found
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX
-    return x ^ (x >> np.uint64(31))
-
-
 def word_hashes(text, cache: WordHashes) -> np.ndarray:
     """Hashes of the words (runs other than space and 0x09-0x0D), A-Z lower-cased."""
     found = text.encode().lower().split() if text else []
@@ -39,8 +34,13 @@ def shingle_set(hashes: np.ndarray, length: int) -> np.ndarray:
     width = min(n, length)
     found = np.full(n - width + 1, width, np.uint64)
     for k in range(width):
-        found = _mixed(found * _ODD + hashes[k:n - width + 1 + k])
-    return np.unique(found)
+        found *= _ODD
+        found += hashes[k:n - width + 1 + k]
+        found ^= found >> np.uint64(30)
+        found *= _MIX
+        found ^= found >> np.uint64(31)
+    found.sort()
+    return found[np.append(True, found[1:] != found[:-1])]
 
 
 def digest(tokens: np.ndarray) -> bytes:

@@ -6,14 +6,18 @@ Every reader returns one row per document with ``reason`` (why it was rejected,
 its ``holdings``, and what it states once for all of them; ``raw_rows`` and ``rejects`` split that.
 """
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdrift.fixed_values import (
-    AS_OF_PATTERN, COLUMNAR_JSON_FIELDS, COLUMNAR_JSON_PATH, CSV_LAYOUTS, DATE_LINE_PATTERN,
-    HOLDINGS_AS_OF_PATTERN, HTML_NAME_WORDS, HTML_TABLE_COLUMNS, HTML_WEIGHT_WORDS,
-    MIN_FULL_HOLDINGS, PAGE_AS_OF_PATTERN, RAW_FIELDS, ROW_JSON_FIELDS, SHEET_COLUMNS,
+    AS_OF_PATTERN, COLUMNAR_JSON_FIELDS, COLUMNAR_JSON_PATH, CSV_LAYOUTS, DATA_ADDRESS_BODY,
+    DATA_ADDRESS_PATTERN, DATE_LINE_PATTERN, HOLDINGS_AS_OF_PATTERN, HTML_NAME_WORDS, HTML_TABLE_COLUMNS,
+    HTML_WEIGHT_WORDS, MIN_FULL_HOLDINGS, PAGE_AS_OF_PATTERN, PAGE_MARKERS, PAGE_STARTS,
+    PLACED_TABLE_COLUMNS, PLACED_TABLE_WORDS, RAW_FIELDS, ROW_JSON_FIELDS, SHEET_COLUMNS,
 )
 from holdrift.functions.once import with_computed
 from holdrift.functions.text import (
@@ -21,6 +25,7 @@ from holdrift.functions.text import (
 )
 from holdrift.plans.joins import local_table
 from holdrift.sources import delimited
+from holdrift.sources.markup import element_text, elements, page_text
 
 _KEYS = ["path", "etf_ticker", "layout"]
 
@@ -29,8 +34,8 @@ _KEYS = ["path", "etf_ticker", "layout"]
 
 def looks_like_html(content) -> Column:
     head = F.lower(F.substring(F.ltrim(content, F.lit(SPACES)), 1, 512))
-    return (head.startswith("<!doctype html") | head.startswith("<html")
-            | head.contains("<head>"))
+    starts = [head.startswith(start) for start in PAGE_STARTS]
+    return reduce(or_, starts + [head.contains(marker) for marker in PAGE_MARKERS])
 
 
 def _first(content, pattern) -> Column:
@@ -201,8 +206,10 @@ def read_delimited(docs: DataFrame) -> DataFrame:
 
 def decoded_documents(docs: DataFrame) -> DataFrame:
     """Delimited documents inside ``data:`` addresses, one row per address in a text."""
-    addresses = F.regexp_extract_all(
-        F.col("content"), F.lit(r"(?i)data:application/csv[^\s\"'<>]+"), F.lit(0))
+    addresses = F.transform(
+        F.regexp_extract_all(F.col("content"), F.lit(DATA_ADDRESS_PATTERN), F.lit(0)),
+        lambda found: F.when(found.rlike("^[\"']"), F.substring(found, F.lit(2), F.length(found) - 2))
+        .otherwise(found))
     spread = docs.select(*[c for c in docs.columns if c != "content"],
                          F.posexplode(addresses).alias("part", "address"))
     return with_computed(spread, {"content": decoded_address(F.col("address"))}).drop("address")
@@ -210,7 +217,7 @@ def decoded_documents(docs: DataFrame) -> DataFrame:
 
 def decoded_address(address) -> Column:
     """Text of a ``data:application/csv`` address; NULL if it is none."""
-    coded = blank_to_null(F.regexp_extract(address, r"(?is)data:application/csv[^,]*,(.+)", 1))
+    coded = blank_to_null(F.regexp_extract(address, DATA_ADDRESS_BODY, 1))
     # A plus sign and a stray percent sign stand for themselves.
     literal = F.regexp_replace(F.replace(coded, F.lit("+"), F.lit("%2B")),
                                "%(?![0-9A-Fa-f]{2})", "%25")
@@ -256,52 +263,12 @@ def read_sheets(docs: DataFrame) -> DataFrame:
 
 # --- web pages ----------------------------------------------------------------------
 
-_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'")]
-
-
-def unescaped(text) -> Column:
-    """Text with character references resolved: decimal, hexadecimal, and common names."""
-    for name, character in _ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(character))
-
-    def numbered(pattern, base):
-        def put(done, code):
-            digits = F.regexp_extract(code, pattern, 1)
-            number = F.lpad(F.conv(digits, base, 16), 8, "0")
-            return F.replace(done, code, F.decode(F.unhex(number), "UTF-32"))
-
-        return lambda text: F.aggregate(
-            F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))), text, put)
-
-    text = bound(text, numbered(r"&#([0-9]{1,7});", 10))
-    text = bound(text, numbered(r"(?i)&#x([0-9a-f]{1,5});", 16))
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
-
-
-def element_text(markup) -> Column:
-    """Text of an element: each piece between tags stripped, then joined."""
-    pieces = F.split(F.regexp_replace(markup, "(?s)<!--.*?-->", ""), "<[^>]*>")
-    return F.array_join(F.transform(pieces, lambda piece: strip(unescaped(piece))), "")
-
-
-def page_text(page) -> Column:
-    """Visible text of a page, pieces separated by spaces."""
-    visible = F.regexp_replace(
-        page, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", "")
-    return unescaped(F.regexp_replace(visible, "<[^>]*>", " "))
-
-
-def _elements(markup, tag) -> Column:
-    return F.regexp_extract_all(
-        markup, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"), F.lit(1))
-
-
 def page_tables(page) -> Column:
     """Tables of a page as structs of header texts and rows of cell texts."""
-    return F.transform(_elements(page, "table"), lambda table: F.struct(
-        F.transform(_elements(table, "th"), element_text).alias("header"),
-        F.transform(_elements(table, "tr"), lambda row: F.transform(
-            _elements(row, "td"), element_text)).alias("rows"),
+    return F.transform(elements(page, "table"), lambda table: F.struct(
+        F.transform(elements(table, "th"), element_text).alias("header"),
+        F.transform(elements(table, "tr"), lambda row: F.transform(
+            elements(row, "td"), element_text)).alias("rows"),
     ))
 
 
@@ -327,35 +294,29 @@ def read_pages(docs: DataFrame) -> DataFrame:
     return _read(rows, reason, _picked("table.rows", F.col("places")), F.col("date"))
 
 
-# Columns of a rendered holdings table by place, and the words its header must hold.
-_PLACED_COLUMNS = [
-    "constituent_name", "market_value", "constituent_ticker", "sedol", "shares_held", "weight_pct"]
-_PLACED_WORDS = ["security", "market value", "symbol", "sedol", "quantity", "weight"]
-
-
 def read_placed_pages(docs: DataFrame) -> DataFrame:
     """The first table whose header holds all six wanted words; its columns go by place."""
     def heads(table):
-        cells = F.flatten(F.transform(_elements(table, "thead"), lambda h: _elements(h, "td")))
+        cells = F.flatten(F.transform(elements(table, "thead"), lambda h: elements(h, "td")))
         return delimited.header_names(F.transform(
-            F.concat(_elements(table, "th"), cells), element_text))
+            F.concat(elements(table, "th"), cells), element_text))
 
     def fits(table):
-        words = F.array(*[F.lit(word) for word in _PLACED_WORDS])
+        words = F.array(*[F.lit(word) for word in PLACED_TABLE_WORDS])
         return F.forall(words, lambda word: F.exists(
             table["names"], lambda name: F.contains(name, word)))
 
     rows = with_computed(docs, {
-        "tables": F.transform(_elements(F.col("content"), "table"), lambda table: F.struct(
+        "tables": F.transform(elements(F.col("content"), "table"), lambda table: F.struct(
             heads(table).alias("names"), table.alias("markup"))),
         "date": page_date(page_text(F.col("content"))),
     })
     rows = with_computed(rows, {"table": F.get(F.filter("tables", fits), F.lit(0))["markup"]})
-    body = F.flatten(F.transform(_elements(F.col("table"), "tbody"), lambda b: F.transform(
-        _elements(b, "tr"), lambda r: F.transform(_elements(r, "td"), element_text))))
+    body = F.flatten(F.transform(elements(F.col("table"), "tbody"), lambda b: F.transform(
+        elements(b, "tr"), lambda r: F.transform(elements(r, "td"), element_text))))
 
-    places = F.lit([_PLACED_COLUMNS.index(n) if n in _PLACED_COLUMNS else -1 for n in RAW_FIELDS])
-    full = F.filter(body, lambda r: (F.size(r) >= len(_PLACED_COLUMNS)) & (
+    places = F.lit([PLACED_TABLE_COLUMNS.index(n) if n in PLACED_TABLE_COLUMNS else -1 for n in RAW_FIELDS])
+    full = F.filter(body, lambda r: (F.size(r) >= len(PLACED_TABLE_COLUMNS)) & (
         (F.get(r, F.lit(0)) != "") | (F.get(r, F.lit(2)) != "")))
     rows = with_computed(rows, {"kept": full})
     reason = F.when(F.coalesce(F.size("kept"), F.lit(0)) == 0, "no holdings table")

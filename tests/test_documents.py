@@ -94,3 +94,40 @@ def test_feed_for_all_funds_at_once(spark):
         ("OTH", "X"), ("SILJ", "AG")]
     own = documents.raw_rows(read(spark, ("p", "silj", "amplify", text)))
     assert rows(own, "etf_ticker", "constituent_ticker") == [("silj", "AG")]
+
+
+def test_character_references(spark):
+    from pyspark.sql import functions as F
+
+    from holdrift.sources.markup import unescaped
+    told = {
+        "Soci&eacute;t&eacute; A &amp B &ndash; C": "Société A & B – C", "&#233;&#xE9;&#x00000E9;&#000000233": "éééé",
+        "&#x01F600;&#128512;": "\U0001f600\U0001f600", "&#1114112;&#0;&#xD800;&#99999999999999999999;": "�" * 4,
+        "&#150;&#x80;&#129;": "–€\x81", "&unheard; &; & &#; a&b": "&unheard; &; & &#; a&b", "&amp;lt;": "&lt;", "": "",
+        "no": "no"}
+    df = spark.createDataFrame(list(enumerate(told)), "i int, t string")
+    found = df.orderBy("i").select(unescaped(F.col("t"))).collect()
+    assert [r[0] for r in found] == list(told.values())
+
+
+def test_wrong_numbers_do_not_stop_other_documents(spark):
+    page = ("<table><tr><th>Name</th><th>Weight</th></tr><tr><td>A{}</td><td>1</td></tr></table>")
+    found = read(spark, ("1", "F", "page_table", page.format("&#1114112;")), ("2", "F", "page_table", page.format("")))
+    assert rows(documents.raw_rows(found), "path", "constituent_name") == [("1", "A�"), ("2", "A")]
+
+
+def test_tables_inside_cells(spark):
+    inner = "<table><tr><td>x</td></tr></table>"
+    page = (f"<table><tr><td>{inner}</td></tr></table><table class=h><tr><th>Name</th><th>Weight</th></tr>"
+            f"<tr><td>A</td><td>1 {inner}</td></tr><tr><td>B</td><td>2</td></tr></table>")
+    outer = f"<table><tr><td><table><tr><th>Name</th><th>Weight</th></tr><tr><td>C</td><td>3</td></tr></table></td></tr></table>"
+    found = documents.raw_rows(read(spark, ("1", "F", "page_table", page), ("2", "F", "page_table", outer)))
+    assert rows(found, "path", "constituent_name", "weight_pct") == [("1", "B", "2"), ("2", "C", "3")]
+
+
+def test_addresses_end_with_their_quote(spark):
+    body = "Security,Market%20Value,Symbol,SEDOL,Quantity,Weight%0AL'Or,1,A,2,3,4%0AM,1,B,2,3,4"
+    for text in (f'<a href="data:application/csv,{body}">x</a>', f"see data:application/csv,{body} here"):
+        docs = landed(spark, [("p", "F", "sprott", text, "6/12/2026")])
+        found = documents.raw_rows(documents.read_delimited(documents.decoded_documents(docs).drop("part")))
+        assert rows(found, "constituent_name") == [("L'Or",), ("M",)]

@@ -21,8 +21,8 @@ PER_DOCUMENT = 40
 # Each part as one holding; a name may hold quotes, commas and markup characters.
 _PARTS = f"""
 SELECT p_partkey, p_partkey // {PER_DOCUMENT} AS doc, p_partkey % {PER_DOCUMENT} AS line,
-  'P' || p_partkey AS ticker, CASE WHEN p_partkey % 7 = 0 THEN 'A "q", <b> & ' || p_name ELSE p_name
-  END AS name, 'US' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') || (p_partkey % 10) AS isin,
+  'P' || p_partkey AS ticker, CASE WHEN p_partkey % 7 = 0 THEN 'A "q", <b> & ' || p_name
+  WHEN p_partkey % 7 = 3 THEN 'L''Or é – 😀 ' || p_name ELSE p_name END AS name, 'US' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') || (p_partkey % 10) AS isin,
   CAST(1000000 + p_partkey AS VARCHAR) AS sedol, p_size || ',000' AS shares,
   '$' || p_size || '.50' AS value, p_size || '.25' AS weight, p_type AS sector,
   DATE '2026-01-01' + CAST((p_partkey // {PER_DOCUMENT}) % 150 AS INTEGER) AS day FROM part"""
@@ -35,8 +35,9 @@ def _holdings(spark, folder):
     return load(spark, folder, "part").select(
         doc.alias("doc"), F.expr(f"p_partkey % {PER_DOCUMENT}").alias("line"),
         F.concat(F.lit("P"), key).alias("ticker"),
-        F.when(key % 7 == 0, F.concat(F.lit('A "q", <b> & '), "p_name")).otherwise(
-            F.col("p_name")).alias("name"),
+        F.when(key % 7 == 0, F.concat(F.lit('A "q", <b> & '), "p_name"))
+        .when(key % 7 == 3, F.concat(F.lit("L'Or é – 😀 "), "p_name"))
+        .otherwise(F.col("p_name")).alias("name"),
         F.concat(F.lit("US"), F.lpad(key.cast("string"), 9, "0"), key % 10).alias("isin"),
         (key + 1000000).cast("string").alias("sedol"),
         F.concat(size, F.lit(",000")).alias("shares"),
@@ -51,9 +52,15 @@ def _quoted(value):
         F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(value)
 
 
+# How a page may write a character: by name or number, of any length, without a semicolon.
+_REFERENCES = {"&": "&amp;", "<": "&lt;", '"': "&#34;", "é": "&eacute;", "–": "&ndash", "'": "&#x0000027;",
+               "😀": "&#x0001F600;"}
+
+
 def _markup(value):
-    escaped = F.replace(F.replace(F.replace(
-        value, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&#34;"))
+    escaped = value
+    for character, reference in _REFERENCES.items():
+        escaped = F.replace(escaped, F.lit(character), F.lit(reference))
     return F.concat(F.lit("<td> <i>"), escaped, F.lit("</i> </td>"))
 
 
@@ -133,7 +140,8 @@ def sprott_addresses(spark, folder):
     docs = _bound(spark, folder, _csv("name", "value", "ticker", "sedol", "shares", "weight"))
     text = _lines("Security,Market Value,Symbol,SEDOL,Quantity,Weight", F.col("body"))
     address = F.concat(F.lit("data:application/csv;charset=utf-8,"), F.url_encode(text))
-    address = F.replace(address, F.lit("+"), F.lit("%20"))
+    # URI encoding leaves an apostrophe as it is.
+    address = F.replace(F.replace(address, F.lit("+"), F.lit("%20")), F.lit("%27"), F.lit("'"))
     return _documents(docs, "sprott", F.concat(F.lit('<a href="'), address, F.lit('">x</a>')),
                       given=_day("M/d/yyyy"))
 
