@@ -13,12 +13,17 @@ BATCH = ("etf_ticker", "path")
 
 def prepared_rows(docs: DataFrame, overrides=None, known: DataFrame | None = None,
                   resolve_first=False):
-    """Document outcomes and normalised rows with ISINs filled.
+    """Document outcomes and normalised rows with ISINs filled; the documents are parsed once."""
+    return prepared_parsed(settled(documents.read_documents(docs)), overrides, known, resolve_first)
+
+
+def prepared_parsed(read: DataFrame, overrides=None, known: DataFrame | None = None,
+                    resolve_first=False):
+    """Outcomes and rows of parsed documents, a stored table.
 
     ISINs come from all rows of this run, or from ``known`` holdings such as the stored
-    history. The parsed rows are kept in the checkpoint folder, as several steps use them.
+    history. They never come from a part of the run.
     """
-    read = settled(documents.read_documents(docs))
     raw = documents.raw_rows(read)
     if known is not None:
         lookup = isin_lookup(known, overrides)
@@ -63,6 +68,13 @@ def ingest(docs: DataFrame, universe: DataFrame, folder: str, run_date, override
 
     A repeated run finds the dates stored and appends nothing.
     """
-    outcomes, rows = prepared_rows(docs, overrides, known, resolve_first)
+    read = settled(documents.read_documents(docs))
+    return ingest_parsed(read, universe, folder, run_date, overrides, known, resolve_first)
+
+
+def ingest_parsed(read: DataFrame, universe: DataFrame, folder: str, run_date, overrides=None,
+                  known=None, resolve_first=False) -> DataFrame:
+    """The same for documents that are parsed and stored already."""
+    outcomes, rows = prepared_parsed(read, overrides, known, resolve_first)
     appended = history.append_snapshots(rows, folder, run_date, BATCH)
     return run_status(universe, outcomes, appended)

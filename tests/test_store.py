@@ -7,7 +7,7 @@ from holdrift.plans import publish, views
 from holdrift.plans.ingest import ingest
 from holdrift.schemas import DOCUMENTS
 from holdrift.sources import history as store
-from holdrift.streaming.incremental import ingest_stream, landing_stream
+from holdrift.streaming.incremental import ingest_available, landing_stream
 from tests.build import DAY, documents, history, position, rows, universe
 
 
@@ -102,12 +102,34 @@ def test_replayed_stream_appends_nothing(spark, tmp_path):
     landing, folder = str(tmp_path / "landing"), str(tmp_path / "history")
     _docs(spark).select(*DOCUMENTS.fieldNames()).repartition(3).write.parquet(landing)
     for turn in range(2):  # the second stream starts from nothing and sees the files again
-        ingest_stream(landing_stream(spark, landing, 1), universe(spark, _FUNDS), folder,
-                      str(tmp_path / f"progress{turn}"), date(2026, 6, 30),
-                      str(tmp_path / f"status{turn}")).awaitTermination()
+        again = ingest_available(landing_stream(spark, landing, 1), universe(spark, _FUNDS), folder,
+                                 str(tmp_path / f"work{turn}"), date(2026, 6, 30))
         assert store.read_history(spark, folder).count() == 2
-    again = spark.read.parquet(str(tmp_path / "status1"))
     assert rows(again.filter("etf_ticker = 'A'"), "status", "n_today") == [("skipped", 0)]
+    # Nothing has landed since.
+    assert ingest_available(landing_stream(spark, landing, 1), universe(spark, _FUNDS), folder,
+                            str(tmp_path / "work1"), date(2026, 6, 30)) is None
+
+
+def test_batches_of_a_stream_do_not_change_what_is_stored(spark, tmp_path):
+    """Also of two documents of one fund and date, and of ISINs that only another document states."""
+    head = "Ticker,Name,ISIN,Weight (%),Market Value\n"
+    docs = documents(spark, [
+        ("1", "A", "ishares", f'"as of Jun 12, 2026"\n{head}X,Quiet Harbour Inc,US0000000011,60,1\n'),
+        ("2", "B", "ishares", f'"as of Jun 12, 2026"\n{head}Q,Quiet Harbour,,60,1\nY,Twice,,1,1\n'),
+        ("3", "C", "ishares", f'"as of Jun 12, 2026"\n{head}Y,Twice,US0000000029,60,1\n'),
+        ("4", "D", "ishares", f'"as of Jun 12, 2026"\n{head}Y,Twice,US0000000037,60,1\n'),
+        ("5", "C", "ishares", f'"as of Jun 12, 2026"\n{head}Z,Other,US0000000045,60,1\n')])
+    landing, found = str(tmp_path / "landing"), []
+    docs.select(*DOCUMENTS.fieldNames()).repartition(5, "path").write.parquet(landing)
+    for files in (1, 4, 1000):
+        folder = str(tmp_path / f"history{files}")
+        ingest_available(landing_stream(spark, landing, files), universe(spark, _FUNDS), folder,
+                         str(tmp_path / f"work{files}"), date(2026, 6, 30))
+        found.append(rows(store.read_history(spark, folder), "etf_ticker", "constituent_ticker", "isin"))
+    assert found[0] == found[1] == found[2] == [
+        ("A", "X", "US0000000011"), ("B", "Q", "US0000000011"), ("B", "Y", None), ("C", "Y", "US0000000029"),
+        ("D", "Y", "US0000000037")]
 
 
 def _two_funds(spark):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from holdrift.plans.ingest import ingest, prepared_rows
 from holdrift.schemas import DOCUMENTS
 from holdrift.sources import documents, history
-from holdrift.streaming.incremental import ingest_stream, landing_stream
+from holdrift.streaming.incremental import ingest_available, landing_stream
 from workload.ingest_queries import scratch
 from workload.registry import query
 from workload.tables import load
@@ -372,32 +372,49 @@ def ingest_run_again(spark, folder):
 
 
 # Layouts without ISINs are resolved from those of the same run by name.
-@query("resolved_documents", f"""
+_RESOLVED = f"""
 WITH parts AS ({_PARTS}), kept AS (SELECT p.*, s.reason, s.doc % 4 AS kind FROM parts p
   JOIN ({_READ_STATUS}) s ON s.doc = p.doc WHERE s.reason IS NULL),
 known AS (SELECT upper(trim(regexp_replace(regexp_replace(upper(name), '[^A-Z0-9]+', ' ', 'g'), ' +', ' ', 'g')))
     AS key, CASE WHEN min(isin) = max(isin) THEN min(isin) END AS isin
   FROM kept WHERE kind IN (0, 3) GROUP BY 1)
 SELECT 'D' || doc AS etf_ticker, ticker AS constituent_ticker, CASE WHEN kind IN (0, 3) THEN k.isin
-  ELSE n.isin END AS isin, day AS as_of_date, p_size_value AS market_value
+  ELSE n.isin END AS isin, day AS as_of_date, p_size_value AS market_value, doc, kind
 FROM (SELECT *, CAST(replace(value, '$', '') AS DOUBLE) AS p_size_value FROM kept) k
 LEFT JOIN known n ON n.key = upper(trim(regexp_replace(regexp_replace(upper(k.name), '[^A-Z0-9]+', ' ', 'g'),
-  ' +', ' ', 'g')))""")
+  ' +', ' ', 'g')))"""
+_RESOLVED_COLUMNS = ["etf_ticker", "constituent_ticker", "isin", "as_of_date", "market_value"]
+
+
+@query("resolved_documents", f"SELECT {', '.join(_RESOLVED_COLUMNS)} FROM ({_RESOLVED})")
 def resolved_documents(spark, folder):
     _, rows = prepared_rows(_mixed(spark, folder))
-    return rows.select(
-        "etf_ticker", "constituent_ticker", "isin", "as_of_date", "market_value")
+    return rows.select(*_RESOLVED_COLUMNS)
+
+
+@query("resolved_from_history", f"SELECT {', '.join(_RESOLVED_COLUMNS)} FROM ({_RESOLVED}) WHERE kind IN (1, 2)")
+def resolved_from_history(spark, folder):
+    """Documents without ISINs, resolved from a history that holds those with ISINs."""
+    kind = F.substring("etf_ticker", 2, 20).cast("long") % 4
+    docs = _mixed(spark, folder)
+    _, stated = prepared_rows(docs.filter(kind.isin(0, 3)))
+    known = history.with_history_columns(stated)
+    _, rows = prepared_rows(docs.filter(kind.isin(1, 2)), known=known)
+    return rows.select(*_RESOLVED_COLUMNS)
+
+
+def streamed(spark, folder, files_per_batch):
+    """What the history holds after the mixed documents have landed in eight files."""
+    target, landing = scratch(spark, "streamed"), scratch(spark, "landing")
+    _mixed(spark, folder).select(*DOCUMENTS.fieldNames()).repartition(8, "path").write.parquet(landing)
+    ingest_available(
+        landing_stream(spark, landing, files_per_batch), _funds(spark, folder), target,
+        scratch(spark, "work"), _RUN_DATE)
+    return history.read_history(spark, target).select(*_RESOLVED_COLUMNS)
 
 
 @query("incremental_ingest", f"""
-SELECT day AS as_of_date, 'D' || doc AS etf_ticker, n AS n_rows FROM ({_INGESTED})
-WHERE status = 'ingested'""")
+SELECT {', '.join(_RESOLVED_COLUMNS)} FROM ({_RESOLVED})
+WHERE doc IN (SELECT doc FROM ({_INGESTED}) WHERE status = 'ingested')""")
 def incremental_ingest(spark, folder):
-    target, landing = scratch(spark, "streamed"), scratch(spark, "landing")
-    _mixed(spark, folder).select(*DOCUMENTS.fieldNames()).write.parquet(landing)
-    run = ingest_stream(
-        landing_stream(spark, landing, files_per_batch=4), _funds(spark, folder), target,
-        scratch(spark, "progress"), _RUN_DATE, scratch(spark, "status"))
-    run.awaitTermination()
-    return history.read_history(spark, target).groupBy("as_of_date", "etf_ticker").agg(
-        F.count(F.lit(1)).alias("n_rows"))
+    return streamed(spark, folder, files_per_batch=3)
