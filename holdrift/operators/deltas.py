@@ -15,6 +15,7 @@ _INPUT = [
 ]
 _MEASURES = ["shares_held", "market_value", "weight_pct"]
 _LABELS = ["constituent_ticker", "constituent_name"]
+_EXACT = "decimal(28,6)"
 
 
 def compared_rows(history: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -43,6 +44,24 @@ def _rollup(only: Column | None = None, prefix="") -> list[Column]:
     return columns
 
 
+def exact_measures(rows: DataFrame) -> DataFrame:
+    """Measures stored as doubles as decimals of six places, whose sums do not depend on an order.
+
+    What a decimal of 28 digits cannot hold (infinite, not a number) is missing.
+    """
+    floating = [f.name for f in rows.schema.fields if f.name in _MEASURES and f.dataType.typeName() == "double"]
+    return rows.withColumns({name: F.col(name).try_cast(_EXACT) for name in floating})
+
+
+def as_stored(deltas: DataFrame, like: DataFrame) -> DataFrame:
+    """Measures and their differences as doubles where ``like`` stores doubles."""
+    doubles = {f.name for f in like.schema.fields if f.dataType.typeName() == "double"}
+    shown = {"shares_held": "shares", "market_value": "market_value", "weight_pct": "weight_pct"}
+    return deltas.withColumns({
+        prefix + name: F.col(prefix + name).cast("double") for stored, name in shown.items() if stored in doubles
+        for prefix in ("prev_", "curr_", "delta_")})
+
+
 def position_rollup(rows: DataFrame) -> DataFrame:
     """One row per position and snapshot side: lots of one security are summed first.
 
@@ -118,8 +137,8 @@ def with_vertical(deltas: DataFrame, universe: DataFrame) -> DataFrame:
 
 def position_deltas(history: DataFrame, pairs: DataFrame, universe: DataFrame) -> DataFrame:
     """Additions, removals and changes of every position between the paired snapshots."""
-    return with_vertical(
-        delta_rows(paired_positions(compared_rows(history, pairs))), universe)
+    paired = paired_positions(exact_measures(compared_rows(history, pairs)))
+    return with_vertical(as_stored(delta_rows(paired), history), universe)
 
 
 def is_material() -> Column:

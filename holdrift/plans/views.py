@@ -95,29 +95,37 @@ def latest_view(history, universe, config=None, source=DEFAULT_SOURCE) -> Flow:
     return scoped(reported(found, config), drop=coverage.paused(universe))
 
 
-def aligned_view(history, universe, config=None, source=DEFAULT_SOURCE) -> Flow:
-    return both_views(history, universe, config, source).aligned
+def _view(history, universe, config, dates, paused, keep) -> Flow:
+    found = deltas.position_deltas(history, snapshots.latest_pairs(dates), universe).drop("pair_date")
+    return scoped(reported(settled(found) if keep else found, config), drop=paused)
 
 
-def both_views(history, universe, config=None, source=DEFAULT_SOURCE) -> Views:
+def _dates_up_to(dates: DataFrame, pinned: DataFrame) -> DataFrame:
+    limit = F.coalesce(pinned.scalar(), F.lit("9999-12-31").cast("date"))
+    return dates.filter(F.col("as_of_date") <= limit)
+
+
+def aligned_view(history, universe, config=None, source=DEFAULT_SOURCE, keep=False) -> Flow:
+    """The view in which every fund is pinned to a date all have reached."""
+    dates, paused = settled(snapshots.snapshot_dates(history, source)), coverage.paused(universe)
+    pinned = snapshots.aligned_date(snapshots.latest_date_per_fund(dates), paused)
+    return _view(history, universe, config, _dates_up_to(dates, pinned), paused, keep)
+
+
+def both_views(history, universe, config=None, source=DEFAULT_SOURCE, keep=False) -> Views:
     """Latest view, and the one in which every fund is pinned to a date all have reached.
 
     The snapshot dates are read from the history once for both. Without any date the
-    aligned view compares what the latest one does.
+    aligned view compares what the latest one does. With ``keep`` the deltas of each view are
+    computed once and stored, for callers that use several of its tables.
     """
     dates = settled(snapshots.snapshot_dates(history, source))
     paused = coverage.paused(universe)
     latest_stored = snapshots.latest_date_per_fund(dates)
     pinned = snapshots.aligned_date(latest_stored, paused)
-    limit = F.coalesce(pinned.scalar(), F.lit("9999-12-31").cast("date"))
-
-    def view(used):
-        found = deltas.position_deltas(history, snapshots.latest_pairs(used), universe)
-        return scoped(reported(found.drop("pair_date"), config), drop=paused)
-
     return Views(
-        latest=view(dates),
-        aligned=view(dates.filter(F.col("as_of_date") <= limit)),
+        latest=_view(history, universe, config, dates, paused, keep),
+        aligned=_view(history, universe, config, _dates_up_to(dates, pinned), paused, keep),
         latest_stored=latest_stored,
         aligned_date=pinned,
     )

@@ -35,26 +35,36 @@ def read_history(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def csv_layouts(spark: SparkSession, folder: str) -> DataFrame:
-    """Files per header line, found by one distributed pass over the text."""
-    lines = spark.read.text(folder).select("value", F.col("_metadata.file_path").alias("file"))
-    is_header = F.col("value").contains("as_of_date") & F.col("value").contains("etf_ticker")
-    headers = lines.filter(is_header).select(F.rtrim("value").alias("header"), "file").distinct()
-    return headers.groupBy("header").agg(F.collect_list("file").alias("files"))
+    """Files per header line, and whether their records hold line breaks; one pass over the text.
+
+    The first line of a file is its header, whatever it says. A line with an odd number of quotes
+    begins or ends a record of several lines.
+    """
+    lines = spark.read.text(folder).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"),
+        (F.col("_metadata.file_block_start") == 0).alias("first_block"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    files = lines.groupBy("file").agg(
+        F.min_by("value", F.when(F.col("first_block"), F.col("at"))).alias("header"),
+        F.bool_or(quotes % 2 == 1).alias("broken"))
+    return files.select(F.rtrim("header").alias("header"), "broken", "file").groupBy("header", "broken").agg(
+        F.collect_list("file").alias("files"))
 
 
 def read_csv_history(spark: SparkSession, folder: str) -> DataFrame:
     """A history kept as delimited files; columns are matched by name, not by place.
 
-    Empty text, quoted or not, is a missing value.
+    Empty text, quoted or not, is a missing value, and so is a column a file lacks. Files whose
+    records stay on one line are split over tasks.
     The driver only learns the file names per header, as it does to plan any scan.
     """
     tables = []
-    for layout in csv_layouts(spark, folder).orderBy("header").collect():
+    for layout in csv_layouts(spark, folder).orderBy("header", "broken").collect():
         names = [name.strip().strip('"') for name in layout.header.lstrip("\ufeff").split(",")]
         types = {f.name: f.dataType for f in HISTORY.fields}
         schema = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
         part = spark.read.schema(schema).csv(
-            sorted(layout.files), header=True, multiLine=True, escape='"')
+            sorted(layout.files), header=True, multiLine=layout.broken, escape='"')
         filled = part.select(*[
             blank_to_null(c).alias(c) if t == "string" else F.col(c) for c, t in part.dtypes])
         tables.append(with_history_columns(filled))
@@ -84,11 +94,9 @@ def judged_heads(heads: DataFrame, history: DataFrame, run_date, batch=("etf_tic
     the same fund and date. Only the history's partitions of the incoming dates are read.
     """
     heads = settled(heads)
-    span = heads.agg(F.min("as_of_date"), F.max("as_of_date")).first()
-    candidates = history.filter(F.col("as_of_date").between(
-        F.lit(span[0]).cast("date"), F.lit(span[1]).cast("date")))
-    wanted = join_side(heads.select("etf_ticker", "as_of_date").distinct())
-    known = candidates.select("etf_ticker", "as_of_date").join(
+    wanted = join_side(heads.filter(F.col("as_of_date") <= F.lit(run_date).cast("date")).select(
+        "etf_ticker", "as_of_date").distinct()).filter(F.col("as_of_date").isNotNull())
+    known = history.select("etf_ticker", "as_of_date").join(
         wanted, ["etf_ticker", "as_of_date"], "left_semi").distinct().withColumn(
         "stored", F.lit(True))
     same_day = Window.partitionBy("etf_ticker", "as_of_date").orderBy(*batch)

@@ -8,9 +8,10 @@ from holdrift.functions.classify import is_trackable
 from holdrift.functions.text import search
 from holdrift.operators import consensus, coverage, deltas, digest, snapshots, thresholds
 from holdrift.plans import publish, views
+from holdrift.sources.history import with_history_columns
 from workload.registry import query
 from workload.sql import MATERIAL, band, short_shares_sql, sql
-from workload.tables import CONFIG, as_doubles, holdings, universe
+from workload.tables import CONFIG, as_doubles, holdings, in_order, universe
 
 GROUPS = CONFIG["cross_etf"]["equivalent_etf_groups"]
 SOURCE = "web_csv"
@@ -24,6 +25,10 @@ def _deltas(spark, folder):
     return views.daily_deltas(holdings(spark, folder), universe(spark, folder))
 
 
+def _aligned(spark, folder):
+    return views.aligned_view(holdings(spark, folder), universe(spark, folder), CONFIG)
+
+
 def _flow(spark, folder):
     return views.latest_view(holdings(spark, folder), universe(spark, folder), CONFIG)
 
@@ -110,6 +115,12 @@ def daily_deltas(spark, folder):
     return as_doubles(_deltas(spark, folder))
 
 
+@query("daily_deltas_of_stored_types", sql(f"{_ALL_BUT_PAIR} deltas"))
+def daily_deltas_of_stored_types(spark, folder):
+    """The same deltas from the types a history is stored in; double sums must not depend on an order."""
+    return views.daily_deltas(with_history_columns(holdings(spark, folder)), universe(spark, folder))
+
+
 @query("daily_deltas_as_of", sql(f"{_ALL_BUT_PAIR} deltas_2000"))
 def daily_deltas_as_of(spark, folder):
     return as_doubles(views.daily_deltas(
@@ -205,7 +216,16 @@ def signal_votes(spark, folder):
 @query("signals", sql("SELECT * FROM deltas_signals"))
 def signals(spark, folder):
     votes = consensus.details(_deltas(spark, folder), GROUPS)
-    return as_doubles(consensus.by_value(consensus.signals(votes)))
+    return as_doubles(consensus.signals(votes))
+
+
+@query("signals_in_order", sql("""
+SELECT isin, total_delta_market_value, row_number() OVER (
+  ORDER BY abs(coalesce(total_delta_market_value, 0)) DESC, isin) AS place FROM deltas_signals"""))
+def signals_in_order(spark, folder):
+    votes = consensus.details(_deltas(spark, folder), GROUPS)
+    return as_doubles(in_order(consensus.by_value(consensus.signals(votes)))).select(
+        "isin", "total_delta_market_value", "place")
 
 
 @query("signals_without_groups", sql("""
@@ -330,12 +350,12 @@ def latest_view_votes(spark, folder):
 
 @query("aligned_view_moves", sql(f"SELECT {_LISTED} FROM deltas_aligned_moves"))
 def aligned_view_moves(spark, folder):
-    return as_doubles(_views(spark, folder).aligned.moves)
+    return as_doubles(_aligned(spark, folder).moves)
 
 
 @query("aligned_view_signals", sql("SELECT * FROM deltas_aligned_scoped"))
 def aligned_view_signals(spark, folder):
-    return as_doubles(_views(spark, folder).aligned.signals)
+    return as_doubles(_aligned(spark, folder).signals)
 
 
 @query("scoped_run", sql(f"""
@@ -409,15 +429,12 @@ def move_search(spark, folder):
 @query("moves_by_value", sql(f"""
 SELECT {_MOVE}, CAST(row_number() OVER (ORDER BY abs(delta_market_value) DESC NULLS LAST,
   etf_ticker, delta_type, isin NULLS FIRST, constituent_ticker NULLS FIRST) AS BIGINT) AS place
-FROM deltas_moves ORDER BY place LIMIT 50"""))
+FROM deltas_moves"""))
 def moves_by_value(spark, folder):
     ordered = coverage.sorted_table(
         _flow(spark, folder).moves, "delta_market_value", size_only=True,
-        then=["etf_ticker", "delta_type", "isin", "constituent_ticker"]).limit(50)
-    place = F.row_number().over(digest.Window.orderBy(
-        coverage.sort_key("delta_market_value", size_only=True).desc(), "etf_ticker",
-        "delta_type", "isin", "constituent_ticker")).cast("long")
-    return as_doubles(ordered.withColumn("place", place).select(*_MOVE_COLUMNS, "place"))
+        then=["etf_ticker", "delta_type", "isin", "constituent_ticker"])
+    return as_doubles(in_order(ordered).select(*_MOVE_COLUMNS, "place"))
 
 
 # --- digest ---------------------------------------------------------------------------
@@ -498,6 +515,35 @@ def digest_header(spark, folder):
 
 # --- published result -------------------------------------------------------------------
 
+_BODY = "etf_ticker, isin, constituent_ticker, constituent_name, delta_shares, curr_market_value"
+
+
+@query("payload_moves", sql(f"""
+SELECT delta_type AS kind, {_BODY}, CAST(curr_as_of_date AS VARCHAR) AS curr_as_of_date FROM deltas_moves"""))
+def payload_moves(spark, folder):
+    """The bodies of the published moves, read back."""
+    rows = publish.payload_rows(views.Flow(*map(as_doubles, _flow(spark, folder))), "latest")
+    body = F.from_json("body", "etf_ticker string, isin string, constituent_ticker string, constituent_name string, "
+                               "delta_shares double, curr_market_value double, curr_as_of_date string")
+    return rows.where("kind <> 'signal'").select("kind", body.alias("b")).select("kind", "b.*")
+
+
+@query("payload_signals", sql("""
+SELECT s.isin, s.constituent_name, s.n_etfs, s.total_delta_market_value,
+  string_agg(v.etf_ticker || ':' || v.delta_type, ' ' ORDER BY v.etf_ticker) AS votes
+FROM deltas_scoped s JOIN deltas_scoped_votes v USING (isin) GROUP BY ALL"""))
+def payload_signals(spark, folder):
+    """The bodies of the published signals with their votes, read back; parts are put together."""
+    rows = publish.payload_rows(views.Flow(*map(as_doubles, _flow(spark, folder))), "latest")
+    body = F.from_json("body", "isin string, constituent_name string, n_etfs bigint, total_delta_market_value double, "
+                               "etf_details array<struct<etf_ticker:string,delta_type:string>>")
+    votes = rows.where("kind = 'signal'").select(body.alias("b")).select("b.*").select(
+        "isin", "constituent_name", "n_etfs", "total_delta_market_value", F.explode("etf_details").alias("d"))
+    return votes.groupBy("isin", "constituent_name", "n_etfs", "total_delta_market_value").agg(F.array_join(
+        F.transform(F.sort_array(F.collect_list("d")), lambda d: F.concat(d["etf_ticker"], F.lit(":"), d["delta_type"])),
+        " ").alias("votes"))
+
+
 @query("payload_rows", sql("""
 SELECT 'latest' AS view, delta_type AS kind, count(*) AS n, NULL AS votes FROM deltas_moves
 GROUP BY delta_type

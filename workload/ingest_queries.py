@@ -10,7 +10,7 @@ from holdrift.plans.joins import checkpoint_folder
 from holdrift.sources import history
 from workload.registry import query
 from workload.sql import sql, typed
-from workload.tables import HOLDINGS_EXPRESSIONS, HOLDINGS_SQL, holdings, load, universe
+from workload.tables import HOLDINGS_EXPRESSIONS, HOLDINGS_SQL, holdings, in_order, load, universe
 
 
 def scratch(spark, name):
@@ -267,7 +267,11 @@ def stored_columns(spark, folder):
 
 
 @query("csv_history_scan", sql(f"""
-SELECT {_STORED.replace('asset_class,', "nullif(asset_class, '') AS asset_class,")} FROM holdings
+SELECT NULL AS as_of_date, etf_ticker, constituent_ticker,
+  'as_of_date, etf_ticker' || chr(10) || coalesce(constituent_name, '') AS constituent_name,
+  NULL AS isin, NULL AS sedol, NULL AS shares_held, NULL AS market_value, NULL AS weight_pct, NULL AS currency,
+  NULL AS sector, NULL AS country, NULL AS asset_class, NULL AS instrument_type, NULL AS source
+FROM holdings WHERE etf_ticker = 'F1' UNION ALL SELECT {_STORED.replace('asset_class,', "nullif(asset_class, '') AS asset_class,")} FROM holdings
 WHERE source = 'web_csv' UNION ALL SELECT {_STORED.replace('asset_class,', 'NULL AS asset_class,').replace(
     'instrument_type,', 'NULL AS instrument_type,')} FROM holdings WHERE source = 'manual'"""))
 def csv_history_scan(spark, folder):
@@ -277,6 +281,10 @@ def csv_history_scan(spark, folder):
     rows.filter("source = 'web_csv'").write.csv(f"{target}/typed", **options)
     older = [c for c in reversed(rows.columns) if c not in ("asset_class", "instrument_type")]
     rows.filter("source = 'manual'").select(*older).write.csv(f"{target}/older", **options)
+    # A file without dates, and with a name that looks like a header and holds a line break.
+    rows.filter("etf_ticker = 'F1'").select(
+        "constituent_ticker", "etf_ticker", F.concat(F.lit("as_of_date, etf_ticker\n"), F.coalesce(
+            "constituent_name", F.lit(""))).alias("constituent_name")).write.csv(f"{target}/undated", **options)
     return history.read_csv_history(spark, f"{target}/*")
 
 
@@ -448,9 +456,9 @@ def coverage_counts(spark, folder):
 
 
 @query("fund_freshness", sql("""
-SELECT s.etf_ticker, s.status, l.latest_stored FROM status s LEFT JOIN latest_stored l
-USING (etf_ticker) ORDER BY 1""", status=_STATUS))
+SELECT s.etf_ticker, s.status, l.latest_stored, row_number() OVER (ORDER BY s.etf_ticker) AS place
+FROM status s LEFT JOIN latest_stored l USING (etf_ticker)""", status=_STATUS))
 def fund_freshness(spark, folder):
     dates = snapshots.snapshot_dates(holdings(spark, folder), "web_csv")
-    return coverage.freshness(_status(spark, folder), snapshots.latest_date_per_fund(dates),
-                              universe(spark, folder))
+    return in_order(coverage.freshness(
+        _status(spark, folder), snapshots.latest_date_per_fund(dates), universe(spark, folder)))

@@ -1,11 +1,13 @@
 """Holdings tables derived from the given tables, in Spark and in DuckDB SQL.
 
 A fund is a supplier, a position a part number class, a snapshot a calendar quarter;
-every third fund reports one quarter late. All rows of the base tables are used.
+every third fund reports one quarter late, every ninth three quarters. All rows of the base tables are used.
 """
 
 from pyspark.sql import functions as F
 
+from holdrift.plans.joins import settled
+
 CONFIG = {
     "defaults": {
         "min_weight_delta_bps": 250,
@@ -23,7 +25,8 @@ CONFIG = {
 }
 
 _HOLDINGS_SPARK = """
-    CASE WHEN l_suppkey % 3 = 0 THEN add_months(trunc(l_shipdate, 'QUARTER'), -3)
+    CASE WHEN l_suppkey % 9 = 0 THEN add_months(trunc(l_shipdate, 'QUARTER'), -9)
+         WHEN l_suppkey % 3 = 0 THEN add_months(trunc(l_shipdate, 'QUARTER'), -3)
          ELSE trunc(l_shipdate, 'QUARTER') END                         AS as_of_date
     | concat('F', l_suppkey)                                           AS etf_ticker
     | CASE WHEN l_partkey % 31 > 0 THEN concat('T', l_partkey % 50) END AS constituent_ticker
@@ -49,7 +52,8 @@ _HOLDINGS_SPARK = """
 """
 
 HOLDINGS_SQL = """
-SELECT CAST(CASE WHEN l_suppkey % 3 = 0 THEN date_trunc('quarter', l_shipdate) - INTERVAL 3 MONTH
+SELECT CAST(CASE WHEN l_suppkey % 9 = 0 THEN date_trunc('quarter', l_shipdate) - INTERVAL 9 MONTH
+            WHEN l_suppkey % 3 = 0 THEN date_trunc('quarter', l_shipdate) - INTERVAL 3 MONTH
             ELSE date_trunc('quarter', l_shipdate) END AS DATE)                AS as_of_date,
        'F' || l_suppkey                                                        AS etf_ticker,
        CASE WHEN l_partkey % 31 > 0 THEN 'T' || (l_partkey % 50) END           AS constituent_ticker,
@@ -109,6 +113,22 @@ def universe(spark, folder):
     )
 
 
+def in_order(ordered):
+    """Adds ``place``, counted from 1 in the order in which an ordered table gives its rows.
+
+    Rows are numbered within their partitions, and those are few enough to be added up here.
+    """
+    marked = settled(ordered.withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    before, starts = 0, []
+    for row in marked.groupBy(part.alias("part")).count().orderBy("part").collect():
+        starts.append((row["part"], before))
+        before += row["count"]
+    table = ordered.sparkSession.createDataFrame(starts, "_part long, _before long")
+    return marked.join(F.broadcast(table), part == F.col("_part")).withColumn(
+        "place", F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).drop("_at", "_part", "_before")
+
+
 def as_doubles(df):
     """Decimal columns as doubles, so that both engines show the same type."""
     return df.select(*[
