@@ -1,6 +1,6 @@
 """Position deltas between two snapshots of a fund."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdrift.fixed_values import WEIGHT_NOISE
@@ -94,6 +94,43 @@ def paired_positions_by_join(rows: DataFrame) -> DataFrame:
     return one_side(CURRENT, "curr_").join(one_side(PREVIOUS, "prev_"), keys, "full_outer")
 
 
+_MEASURED = ["as_of_date", "isin", *_LABELS, *_MEASURES]
+
+
+def consecutive_positions(rows: DataFrame, following: DataFrame) -> DataFrame:
+    """Every position of every snapshot beside the one before, from one shuffle of the rows.
+
+    ``rows`` have their ``delta_key``; ``following`` tells, per fund and date, the fund's ``previous_date``
+    and ``next_date``. Lots are summed per position and date; the neighbours of a position in
+    time tell whether the snapshots next to it hold it too. Positions without any key match nothing.
+    """
+    dated = rows.join(following, [*FUND, "as_of_date"])
+    placed = dated.repartition(*FUND, "delta_key").groupBy(
+        *FUND, "delta_key", F.col("as_of_date").alias("pair_date"), "previous_date", "next_date").agg(*_rollup())
+    own = F.struct(*_MEASURED)
+    in_time = Window.partitionBy(*FUND, "delta_key").orderBy("pair_date")
+    keyed = F.col("delta_key").isNotNull()
+    before, after = F.lag(own).over(in_time), F.lead("pair_date").over(in_time)
+    placed = placed.withColumns({"own": own, "before": before, "after": after})
+    held = keyed & (F.col("before.as_of_date") == F.col("previous_date"))
+    none = F.lit(None).cast(placed.schema["own"].dataType)
+    gone = F.col("next_date").isNotNull() & ~F.coalesce(keyed & (F.col("after") == F.col("next_date")), F.lit(False))
+    sides = F.array(
+        F.struct(F.col("pair_date"), F.col("own").alias("curr"), F.when(held, F.col("before")).alias("prev")),
+        F.when(gone, F.struct(F.col("next_date").alias("pair_date"), none.alias("curr"), F.col("own").alias("prev"))))
+    spread = placed.select(*FUND, "delta_key", F.explode(F.filter(sides, lambda side: side.isNotNull())).alias("side"))
+    return spread.select(*FUND, "side.pair_date", "delta_key", *[
+        F.col(f"side.{side}.{name}").alias(f"{side}_{name}") for side in ("curr", "prev") for name in _MEASURED])
+
+
+def consecutive_deltas(history: DataFrame, following: DataFrame, universe: DataFrame) -> DataFrame:
+    """Additions, removals and changes between all consecutive snapshots of every fund."""
+    tracked = history.select(*_INPUT).filter(is_trackable()).withColumn(
+        "delta_key", F.coalesce("isin", "constituent_ticker"))
+    paired = consecutive_positions(exact_measures(tracked), following)
+    return with_vertical(as_stored(delta_rows(paired), history), universe)
+
+
 def delta_type() -> Column:
     return (
         F.when(F.col("prev_as_of_date").isNull(), ADDITION)

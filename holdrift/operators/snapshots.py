@@ -52,6 +52,14 @@ def consecutive_pairs(dates: DataFrame) -> DataFrame:
         F.col("pair_date").isNotNull())
 
 
+def neighbouring_dates(dates: DataFrame) -> DataFrame:
+    """Every snapshot date of a fund with the fund's ``previous_date`` and ``next_date``."""
+    in_time = Window.partitionBy(*FUND).orderBy("as_of_date")
+    return dates.select(
+        *FUND, "as_of_date", F.lag("as_of_date").over(in_time).alias("previous_date"),
+        F.lead("as_of_date").over(in_time).alias("next_date"))
+
+
 def rows_of_pairs(history: DataFrame, pairs: DataFrame) -> DataFrame:
     """History rows of the compared snapshots; a row is repeated per pair it belongs to.
 

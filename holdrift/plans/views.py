@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from holdrift.fixed_values import DEFAULT_SOURCE
 from holdrift.operators import consensus, coverage, deltas, snapshots, thresholds
-from holdrift.plans.joins import settled
+from holdrift.plans.joins import join_side, settled
 
 
 class Flow(NamedTuple):
@@ -41,7 +41,7 @@ def daily_deltas(history, universe, source=DEFAULT_SOURCE, as_of=None) -> DataFr
 def history_deltas(history, universe, source=DEFAULT_SOURCE) -> DataFrame:
     """Deltas of all consecutive snapshots in one job; ``pair_date`` is the newer date."""
     dates = snapshots.snapshot_dates(history, source)
-    return deltas.position_deltas(history, snapshots.consecutive_pairs(dates), universe)
+    return deltas.consecutive_deltas(history, join_side(snapshots.neighbouring_dates(dates)), universe)
 
 
 def _groups(config):
