@@ -178,3 +178,11 @@ def test_publish(spark, tmp_path):
     signal = json.loads(payload.filter("kind = 'signal' AND view = 'latest'").first()[0])
     assert [d["etf_ticker"] for d in signal["etf_details"]] == ["A", "B"]
     assert spark.read.json(str(tmp_path / "funds")).count() == 2
+
+
+def test_exports_are_ordered_by_date_and_ticker(spark, tmp_path):
+    table = history(spark, [position("A", day, ticker, 1) for day in (3, 1, 2) for ticker in "CAB"])
+    store.export_history(table, universe(spark, [("A", "gold")]), str(tmp_path / "out"))
+    written = spark.read.parquet(str(tmp_path / "out"))
+    found = [(r.as_of_date, r.constituent_ticker) for r in written.coalesce(1).collect()]
+    assert found == sorted(found) and len(found) == 9
