@@ -116,9 +116,18 @@ def signals(details: DataFrame) -> DataFrame:
     )
 
 
+def _plain_votes(deltas: DataFrame) -> DataFrame:
+    return deltas.filter(F.col("isin").isNotNull() & (F.col("isin") != CASH_ISIN))
+
+
+def plain_nested_votes(deltas: DataFrame, min_funds=2, per_part=1000) -> DataFrame:
+    """The votes behind ``plain_signals`` as arrays of bounded length: (isin, part, etf_details)."""
+    return nested_details(details_of(plain_signals(deltas, min_funds), _plain_votes(deltas)), per_part)
+
+
 def plain_signals(deltas: DataFrame, min_funds=2) -> DataFrame:
-    """The variant without listing groups that keeps sums of only NULLs NULL."""
-    rows = deltas.filter(F.col("isin").isNotNull() & (F.col("isin") != CASH_ISIN))
+    """The variant without listing groups that keeps sums of only NULLs NULL; see ``by_value`` for its order."""
+    rows = _plain_votes(deltas)
     found = rows.groupBy("isin").agg(
         F.max("constituent_name").alias("constituent_name"),
         F.count_distinct("etf_ticker").alias("n_etfs"),

@@ -22,6 +22,12 @@ def move_summary(moves: DataFrame) -> DataFrame:
     )
 
 
+def run_summary(deltas: DataFrame, moves: DataFrame) -> DataFrame:
+    """The counts of a run before it is scoped: its moves, and the funds with any delta at all."""
+    funds = deltas.agg(F.count_distinct("etf_ticker").alias("etfs_processed"))
+    return move_summary(moves).withColumn("etfs_processed", funds.scalar())
+
+
 def has_moves(moves: DataFrame) -> DataFrame:
     """One row telling whether anything is left to report."""
     return moves.limit(1).agg((F.count(F.lit(1)) > 0).alias("has_moves"))

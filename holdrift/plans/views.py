@@ -131,6 +131,13 @@ def both_views(history, universe, config=None, source=DEFAULT_SOURCE, keep=False
     )
 
 
+def marked_votes(flow: Flow, stale: DataFrame) -> DataFrame:
+    """(isin, etf_ticker, shown) of every voting fund; stale ones are shown with a star."""
+    marks = stale.select("etf_ticker", F.lit("*").alias("mark"))
+    return flow.details.join(marks, "etf_ticker", "left").select(
+        "isin", "etf_ticker", F.concat("etf_ticker", F.coalesce("mark", F.lit(""))).alias("shown"))
+
+
 def read_signals(flow: Flow, stale: DataFrame) -> DataFrame:
     """The consensus table for reading: counts, real unit directions, and stale votes."""
     marked = flow.details.join(

@@ -190,6 +190,16 @@ def latest_summary(spark, folder):
     return _flow(spark, folder).summary()
 
 
+@query("run_summary", sql(f"""
+SELECT count(*) FILTER (WHERE delta_type = 'addition') AS total_additions,
+       count(*) FILTER (WHERE delta_type = 'removal') AS total_removals,
+       count(*) FILTER (WHERE delta_type = 'change' AND {MATERIAL}) AS total_significant_changes,
+       count(DISTINCT etf_ticker) AS etfs_processed FROM deltas"""))
+def run_summary(spark, folder):
+    found = _deltas(spark, folder)
+    return coverage.run_summary(found, deltas.moves(found))
+
+
 @query("aligned_summary", sql(_SUMMARY.format("deltas_aligned")))
 def aligned_summary(spark, folder):
     return _views(spark, folder).aligned.summary()
@@ -208,6 +218,24 @@ _VOTE = ("isin, group_key, etf_ticker, constituent_ticker, constituent_name, del
          "delta_weight_pct, delta_shares, delta_market_value")
 
 
+@query("plain_signals_in_order", sql("""
+SELECT isin, total_delta_market_value, row_number() OVER (
+  ORDER BY abs(coalesce(total_delta_market_value, 0)) DESC, isin) AS place
+FROM (SELECT isin, CAST(sum(CAST(delta_market_value AS DECIMAL(38,2))) AS DOUBLE) AS total_delta_market_value
+      FROM deltas WHERE isin IS NOT NULL AND isin <> 'CASH' GROUP BY isin HAVING count(DISTINCT etf_ticker) >= 2)"""))
+def plain_signals_in_order(spark, folder):
+    found = consensus.by_value(consensus.plain_signals(_deltas(spark, folder)))
+    return as_doubles(in_order(found)).select("isin", "total_delta_market_value", "place")
+
+
+@query("plain_nested_votes", sql("""
+SELECT isin, etf_ticker, delta_type, delta_weight_pct, delta_shares, delta_market_value FROM deltas
+WHERE isin IN (SELECT isin FROM deltas WHERE isin <> 'CASH' GROUP BY isin HAVING count(DISTINCT etf_ticker) >= 2)"""))
+def plain_nested_votes(spark, folder):
+    nested = consensus.plain_nested_votes(_deltas(spark, folder), per_part=20)
+    return as_doubles(nested.select("isin", F.inline("etf_details")))
+
+
 @query("signal_votes", sql(f"SELECT {_VOTE} FROM deltas_votes"))
 def signal_votes(spark, folder):
     return as_doubles(consensus.details(_deltas(spark, folder), GROUPS))
@@ -416,6 +444,14 @@ def signal_table(spark, folder):
     return as_doubles(views.read_signals(found.latest, _stale(found, universe(spark, folder))))
 
 
+@query("marked_votes", sql("""
+SELECT v.isin, v.etf_ticker, v.etf_ticker || CASE WHEN stale.etf_ticker IS NULL THEN '' ELSE '*' END AS shown
+FROM deltas_scoped_votes v LEFT JOIN stale ON v.etf_ticker = stale.etf_ticker""", stale=_STALE))
+def marked_votes(spark, folder):
+    found = _views(spark, folder)
+    return views.marked_votes(found.latest, _stale(found, universe(spark, folder)))
+
+
 @query("move_search", sql(f"""
 SELECT {_MOVE} FROM deltas_moves WHERE contains(lower(concat(etf_ticker, ' ',
   coalesce(constituent_ticker, ''), ' ', coalesce(constituent_name, ''), ' ',
