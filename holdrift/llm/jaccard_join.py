@@ -7,12 +7,12 @@ percentage. Equal sets are one class from the start, so copies never meet each o
   its first tokens that two similar sets share a twentieth of the smaller one in their prefixes.
   A passage that unrelated documents share seldom reaches that.
 - Similar classes form groups: those with the same first shared token, at most about
-  ``GROUP_SIZE`` each; a larger group is dealt out, and all parts get its first class as a guest.
+  ``GROUP_SIZE`` each; a larger group is dealt out, and all parts get the class that shares most as a guest.
 - Within a group all links are found in one task, from a matrix of members and tokens. The guest connects the
   parts of a large group of near copies without comparing them with each other.
-- The token-group matrix holds the union of the prefix tokens of each group. Between classes that
-  are not connected yet, the overlap of a class with that union bounds its overlap with every
-  member. Only groups whose bound is high enough are opened and compared in full.
+- The token-group matrix holds the union of the prefix tokens of each group. The overlap of a class with that
+  union bounds its overlap with every member. Only groups that hold a class not connected yet, and whose bound
+  is high enough, are opened and compared in full. Of two components the smaller one asks.
 
 So every link between different sets is either found or lies inside a component already; the
 components are exact. Which tokens are hot changes the work, not the result.
@@ -37,8 +37,8 @@ from holdrift.llm.tables import small_side, stored
 
 LEAST_SHARED = 3
 SHARED_PART = 20  # linked sets have a twentieth of the smaller set in common in their prefixes
-GROUP_SIZE = 256
-HOT_TOKENS = 1 << 17  # how many of the most frequent tokens are ordered last
+GROUP_SIZE = 512
+HOT_TOKENS = 1 << 20  # how many of the most frequent tokens are ordered last
 HOT_FROM = 10  # documents
 _BLOCK_TOKENS = 4_000_000
 _BATCH = 500  # rows of one Arrow batch with sets
@@ -75,11 +75,9 @@ def _lists(parts: list) -> pa.Array:
 
 
 def token_counts(documents: DataFrame, like: Similarity) -> DataFrame:
-    """(token, n): in how many documents the tokens stand that are frequent somewhere.
+    """(token, n): in how many documents the tokens stand that can come early in the order.
 
     Prefixes hold the smallest hashes of a set, so only hashes below a bound of the hash range count.
-    A token that stands in one document of a block is left out there, which keeps the shuffle small: the
-    numbers are lower bounds, good enough for an order.
     """
     share = min(1.0, 1.3 * ((100 - like.percent) / 100 + 1 / SHARED_PART))
     bound = np.uint64(min(int(share * 2 ** 64), 2 ** 64 - 1))
@@ -89,7 +87,6 @@ def token_counts(documents: DataFrame, like: Similarity) -> DataFrame:
 
         def counted():
             tokens, n = np.unique(np.concatenate(parts), return_counts=True)
-            tokens, n = tokens[n > 1], n[n > 1]
             for k in range(0, len(tokens), 500_000):
                 yield pa.record_batch([pa.array(_int64(tokens[k:k + 500_000])), pa.array(n[k:k + 500_000])],
                                       names=["token", "n"])
@@ -112,8 +109,8 @@ def token_counts(documents: DataFrame, like: Similarity) -> DataFrame:
 def hot_tokens(documents: DataFrame, like: Similarity) -> np.ndarray:
     """The most frequent tokens, at most ``HOT_TOKENS``, in rising order."""
     rows = token_counts(documents, like).where(F.col("n") > HOT_FROM).orderBy(
-        F.desc("n"), "token").limit(HOT_TOKENS).select("token").collect()
-    return np.sort(np.array([row[0] for row in rows], np.int64).view(np.uint64))
+        F.desc("n"), "token").limit(HOT_TOKENS).select("token").toArrow()
+    return np.sort(rows.column("token").to_numpy().view(np.uint64))
 
 
 def _among(tokens: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -246,7 +243,10 @@ def group_links(members: DataFrame, like: Similarity) -> DataFrame:
 
 
 def opened_links(rows: DataFrame, like: Similarity) -> DataFrame:
-    """Links (a, b) between queries and members of opened groups (key, part, comp, block, asks, node, tokens)."""
+    """Links (a, b) of queries to components of opened groups (key, part, block, asks, node, comp, tokens).
+
+    A query is linked once with each component of which some member is similar: b is its label.
+    """
     def links(table):
         asks = table.column("asks").to_numpy(zero_copy_only=False)
         nodes = table.column("node").to_numpy()
@@ -256,17 +256,19 @@ def opened_links(rows: DataFrame, like: Similarity) -> DataFrame:
         if not queries or not members:
             return _LINKS.empty_table()
         found = similar(queries, members, like)
-        linked = found.any(axis=1)
-        return pa.table([pa.array(nodes[asks][linked]), pa.array(nodes[~asks][found.argmax(axis=1)[linked]])],
-                        schema=_LINKS)
+        comps = table.column("comp").to_numpy()[~asks]
+        order = np.argsort(comps, kind="stable")
+        labels, starts = np.unique(comps[order], return_index=True)
+        query, label = np.nonzero(np.logical_or.reduceat(found[:, order], starts, axis=1))
+        return pa.table([pa.array(nodes[asks][query]), pa.array(labels[label])], schema=_LINKS)
 
-    return rows.groupBy("key", "part", "comp", "block").applyInArrow(links, "a long, b long")
+    return rows.groupBy("key", "part", "block").applyInArrow(links, "a long, b long")
 
 
 def _parts(keyed: DataFrame, *keys: str) -> DataFrame:
     """Adds ``parts``: into how many parts of about GROUP_SIZE rows the rows of a key are dealt."""
     counts = stored(keyed.groupBy(*keys).agg(
-        F.count("*").alias("size"), F.min("node").alias("first"),
+        F.count("*").alias("size"), F.max_by("node", F.struct("common", "node")).alias("first"),
         F.ceil(F.count("*") / GROUP_SIZE).cast("int").alias("parts")))
     return keyed.join(counts, list(keys))
 
@@ -281,17 +283,21 @@ def joined(documents: DataFrame, like: Similarity = Similarity()) -> DataFrame:
     rows = described_rows.select("doc_id", "n_shingles", "digest")
     classes = stored(
         described_rows.where("digest IS NOT NULL").groupBy("digest").agg(
-            F.min("doc_id").alias("min_id"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"))
+            F.min("doc_id").alias("min_id"), F.first("n_shingles").alias("n"))
         .withColumn("node", F.monotonically_increasing_id()))
 
-    tokens = classes.select("node", F.explode("prefix").alias("token"))
-    common = tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
+    # One document of a class stands for it.
+    named = small_side(classes.select("digest", "min_id", "node"))
+    tokens = described_rows.join(named, "digest").where(F.col("doc_id").eqNullSafe(F.col("min_id"))).select(
+        "node", F.explode("prefix").alias("token"))
+    common = tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where(
+        "low != high").select("token")
     tokens = stored(tokens.join(common, "token"))
     sizes = classes.select("node", "n")
     active = stored(tokens.groupBy("node").agg(F.count("*").alias("common"), F.min("token").alias("key")).join(
         sizes, "node").where(F.col("common") >= _shared(F.ceil(F.col("n") * like.percent / 100))))
     tokens = tokens.join(active.select("node", "n"), "node")
-    keyed = _parts(stored(active.select("node", "key")), "key").where("size > 0")
+    keyed = _parts(active.select("node", "key", "common"), "key")
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     groups = stored(keyed.select("node", "key", part.alias("part"), "size", "parts", "first"))
     sets = token_sets(documents, stored(groups.select("node").join(
@@ -323,33 +329,35 @@ def joined(documents: DataFrame, like: Similarity = Similarity()) -> DataFrame:
 def _links_between(tokens: DataFrame, comps: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
     """Links (a, b) between classes of different components.
 
-    The token-group matrix has a row for each prefix token and group (members of one component).
-    A class asks the groups of larger components; groups whose bound is too low stay closed.
+    The token-group matrix has a row for each prefix token and group, with the largest component (by
+    size, then label) among its holders. A class asks a group if that is larger than its own, so that
+    every pair of components is asked about from one side. Its own group has been compared already.
     """
     held = tokens.join(comps, "node")
     apart = held.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where(
         "low != high").select("token")
     sizes = comps.groupBy("comp").agg(F.count("*").alias("weight"))
-    held = stored(held.join(apart, "token").join(sizes, "comp"))
-    matrix = held.groupBy("token", "key", "part", "comp", "weight").agg(
-        F.min("n").alias("least_n"), F.max("n").alias("most_n")).alias("m")
-    asking = held.select("token", "node", "n", "comp", "weight").alias("q")
-    larger = (F.col("m.weight") > F.col("q.weight")) | (
-        (F.col("m.weight") == F.col("q.weight")) & (F.col("m.comp") > F.col("q.comp")))
+    held = held.join(apart, "token").join(sizes, "comp")
+    held = stored(held.select("token", "node", "n", "key", "part", F.struct("weight", "comp").alias("rank")))
+    matrix = held.groupBy("token", "key", "part").agg(
+        F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max("rank").alias("rank")).alias("m")
+    asking = held.alias("q")
+    elsewhere = (F.col("m.key") != F.col("q.key")) | (F.col("m.part") != F.col("q.part"))
     fits = (100 * F.col("q.n") >= like.percent * F.col("m.least_n")) & (
         100 * F.col("m.most_n") >= like.percent * F.col("q.n"))
-    bounds = asking.join(matrix, (F.col("q.token") == F.col("m.token")) & larger & fits).groupBy(
-        F.col("q.node").alias("node"), F.col("m.key").alias("key"), F.col("m.part").alias("part"),
-        F.col("m.comp").alias("comp")).agg(
-            F.count("*").alias("bound"), F.least(F.first("q.n"), F.min("m.least_n")).alias("least_n"))
-    opened = bounds.where(F.col("bound") >= _shared(F.col("least_n"))).select("node", "key", "part", "comp")
-    opened = _parts(stored(opened), "key", "part", "comp")
+    bounds = asking.join(
+        matrix, (F.col("q.token") == F.col("m.token")) & elsewhere & (F.col("m.rank") > F.col("q.rank")) & fits)
+    bounds = bounds.groupBy(
+        F.col("q.node").alias("node"), F.col("m.key").alias("key"), F.col("m.part").alias("part")).agg(
+            F.count("*").alias("common"), F.least(F.first("q.n"), F.min("m.least_n")).alias("least_n"))
+    opened = stored(bounds.where(F.col("common") >= _shared(F.col("least_n"))).drop("least_n"))
+    opened = _parts(opened, "key", "part")
     opened = stored(opened.withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")))
-    blocks = opened.select("key", "part", "comp", "parts").distinct().select(
-        "key", "part", "comp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("block"))
-    members = comps.join(blocks, ["key", "part", "comp"]).select(
-        "key", "part", "comp", "block", F.lit(False).alias("asks"), "node")
-    queries = opened.select("key", "part", "comp", "block", F.lit(True).alias("asks"), "node")
+    blocks = opened.select("key", "part", "parts").distinct().select(
+        "key", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("block"))
+    members = comps.join(blocks, ["key", "part"]).select(
+        "key", "part", "block", F.lit(False).alias("asks"), "node", "comp")
+    queries = opened.select("key", "part", "block", F.lit(True).alias("asks"), "node", F.col("node").alias("comp"))
     return opened_links(sets.join(small_side(stored(members.unionByName(queries))), "node"), like)
 
 
