@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 10_000_000
 ROWS_OUT = 1000
 # Letters and numbers that were assigned after Unicode 16. The tiktoken library takes
 # them for neither; the regex library knows them already.

@@ -38,9 +38,9 @@ from holdrift.llm.tables import small_side, stored
 LEAST_SHARED = 3
 SHARED_PART = 20  # linked sets have a twentieth of the smaller set in common in their prefixes
 GROUP_SIZE = 512
-HOT_TOKENS = 1 << 20  # how many of the most frequent tokens are ordered last
+HOT_TOKENS = 1 << 18  # how many of the most frequent tokens are ordered last
 HOT_FROM = 10  # documents
-_BLOCK_TOKENS = 4_000_000
+_BLOCK_TOKENS = 2_000_000
 _BATCH = 500  # rows of one Arrow batch with sets
 _MATRIX_CELLS = 8_000_000
 
@@ -107,9 +107,21 @@ def token_counts(documents: DataFrame, like: Similarity) -> DataFrame:
 
 
 def hot_tokens(documents: DataFrame, like: Similarity) -> np.ndarray:
-    """The most frequent tokens, at most ``HOT_TOKENS``, in rising order."""
-    rows = token_counts(documents, like).where(F.col("n") > HOT_FROM).orderBy(
-        F.desc("n"), "token").limit(HOT_TOKENS).select("token").toArrow()
+    """The most frequent tokens, at most ``HOT_TOKENS``, in rising order.
+
+    The least number of documents is chosen from a histogram of at most some hundred bins.
+    """
+    counts = stored(token_counts(documents, like).where(F.col("n") > HOT_FROM).withColumn(
+        "bin", F.floor(F.log2("n") * 8)))
+    least, held = None, 0
+    for row in sorted(counts.groupBy("bin").count().collect(), key=lambda row: -row["bin"]):
+        held += row["count"]
+        if held > HOT_TOKENS:
+            break
+        least = row["bin"]
+    if least is None:
+        return np.zeros(0, np.uint64)
+    rows = counts.where(F.col("bin") >= least).select("token").toArrow()
     return np.sort(rows.column("token").to_numpy().view(np.uint64))
 
 

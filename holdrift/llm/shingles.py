@@ -5,7 +5,7 @@ import hashlib
 import numpy as np
 import xxhash
 
-_CACHED_WORDS = 500_000
+_CACHED_WORDS = 200_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
