@@ -43,6 +43,18 @@ def shingle_set(hashes: np.ndarray, length: int) -> np.ndarray:
     return found[np.append(True, found[1:] != found[:-1])]
 
 
+def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """One hash for each pair of hashes, in order."""
+    found = np.full(len(first), 2, np.uint64)
+    for part in (first, second):
+        found *= _ODD
+        found += part
+        found ^= found >> np.uint64(30)
+        found *= _MIX
+        found ^= found >> np.uint64(31)
+    return found
+
+
 def digest(tokens: np.ndarray) -> bytes:
     """Sixteen bytes that stand for the whole set."""
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()

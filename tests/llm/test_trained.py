@@ -140,6 +140,29 @@ def test_losses_by_hand(spark):
             assert math.isclose(r["difference"], target - background, rel_tol=1e-4, abs_tol=1e-5)
 
 
+def test_losses_of_all_words_and_pairs(spark, monkeypatch):
+    """Without a shape, more words than the largest shape holds classes for are all modelled, in any blocks."""
+    monkeypatch.setattr(lm_scoring, "_SCORED_WORDS", 300)
+    monkeypatch.setattr(lm_scoring, "_RANGE_KEYS", 500)
+    rng = random.Random(6)
+    texts = [(k, " ".join(f"w{int(rng.expovariate(0.001))}" for _ in range(rng.randrange(0, 200)))) for k in range(60)]
+    texts += [(90, None), (91, ""), (92, "Only new WORDS"), (93, texts[3][1])]
+    chosen = set(range(0, 60, 3))
+    distinct = len({w for _, t in texts for w in (t or "").lower().split()})
+    assert distinct > lm_scoring.Shape().classes
+    ids = spark.createDataFrame([(k,) for k in chosen], "doc_id long")
+    found = lm_scoring.cross_entropy_difference(documents(spark, texts).repartition(3), ids).collect()
+    wanted = by_hand(texts, chosen, lm_scoring.Shape(words=distinct, classes=distinct))
+    assert sorted(r["doc_id"] for r in found) == sorted(k for k, _ in texts)
+    for r in found:
+        target, background = wanted[r["doc_id"]]
+        if target is None:
+            assert r["n_words"] == 0 and r["loss_target"] is None and r["difference"] is None
+        else:
+            assert math.isclose(r["loss_target"], target, rel_tol=1e-9)
+            assert math.isclose(r["loss_background"], background, rel_tol=1e-9)
+
+
 def test_lm_edges(spark):
     ids = spark.createDataFrame([(4,), (None,)], "doc_id long")
     assert lm_scoring.cross_entropy_difference(documents(spark, EDGES), ids).count() == len(EDGES)
