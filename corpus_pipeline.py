@@ -34,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.clean_rows(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.rows_of_clean_texts(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenization(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-The index holds one row (doc_id, term, place) for every document word that occurs in some
-test phrase, written once as Parquet, and one head row per document with its number of words.
+The index holds one row (row, term, place) for every document word that occurs in some test phrase,
+written once as Parquet, and one head row per document row with its id and number of words.
+Phrases are found within a row, whatever ids repeat or are null.
 A phrase is found by intersecting lists of places shifted by the offset of the term in the
 phrase: the list of its rarest term gives candidate starts, the lists of the next rarest
 thin them out, and the remaining terms confirm the survivors. Proximity matches use the
@@ -11,9 +12,8 @@ group of postings, of a term or of an item, meets in one task.
 Words are runs of ASCII letters (A-Z lower-cased), digits and characters beyond ASCII.
 
 Defined results: a null or empty text has no words, an item without words has no phrases.
-A null id is an id like others. Rows that share a doc_id count as one document whose hits
-are the union of theirs; each row comes back with its own number of words. Repeated items
-and phrases count once. Empty tables give no hits. Only id and text columns are read.
+A null id is an id like others. The hits reported for a doc_id are the union of those of its rows;
+each row comes back with its own number of words. Repeated items and phrases count once. Empty tables give no hits. Only id and text columns are read.
 """
 
 from dataclasses import dataclass
@@ -65,13 +65,16 @@ def phrases_of(items: DataFrame, length: int = 10) -> Phrases:
 
 
 def build_index(documents: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Postings (doc_id, term, place) of all document words in the vocabulary, and the head rows.
+    """Postings (row, term, place) of all document words in the vocabulary, and the head rows, with doc_id.
 
     An empty word behind the last one carries the number of words, so the texts are read once.
+    Rows are numbered while the index is written, so their numbers do not change when it is read again.
     """
     with_head = F.concat(words(F.col("text")), F.array(F.lit("")))
-    places = documents.select("doc_id", F.posexplode(with_head).alias("place", "word"))
-    return stored(places.join(small_side(vocabulary), "word").select("doc_id", "term", "place"))
+    rows = documents.select("doc_id", F.monotonically_increasing_id().alias("row"), with_head.alias("words"))
+    places = rows.select("doc_id", "row", F.posexplode("words").alias("place", "word"))
+    return stored(places.join(small_side(vocabulary), "word").select(
+        F.when(F.col("term") == HEAD, F.col("doc_id")).alias("doc_id"), "row", "term", "place"))
 
 
 def by_rarity(index: DataFrame, phrases: Phrases) -> DataFrame:
@@ -86,21 +89,26 @@ def by_rarity(index: DataFrame, phrases: Phrases) -> DataFrame:
 
 
 def _same(left: DataFrame, right: DataFrame, *columns: str) -> Column:
-    found = left["doc_id"].eqNullSafe(right["doc_id"])
+    found = left["row"] == right["row"]
     for column in columns:
         found = found & (left[column] == right[column])
     return found
 
 
+def _named(matches: DataFrame, index: DataFrame) -> DataFrame:
+    """Adds the doc_id of the rows of ``matches``."""
+    return matches.join(index.where(F.col("term") == HEAD).select("row", "doc_id"), "row")
+
+
 def phrase_matches(index: DataFrame, phrases: Phrases, lists: int = 3) -> DataFrame:
-    """Distinct (doc_id, phrase, start, n_terms) of all exact matches.
+    """Distinct (row, doc_id, phrase, start, n_terms) of all exact matches.
 
     ``lists`` terms of a phrase are intersected one after the other, the others at once.
     """
     terms = by_rarity(index, phrases)
     rarest = small_side(stored(terms.where("rank = 1")))
     found = index.join(rarest, "term").select(
-        "doc_id", "phrase", (F.col("place") - F.col("offset")).alias("start"), "n_terms")
+        "row", "phrase", (F.col("place") - F.col("offset")).alias("start"), "n_terms")
     found = found.where("start >= 0").distinct()
     for rank in range(2, lists + 1):
         # A phrase of fewer terms has its last one looked up again.
@@ -109,40 +117,41 @@ def phrase_matches(index: DataFrame, phrases: Phrases, lists: int = 3) -> DataFr
             "place", F.col("start") + F.col("offset"))
         listed = index.join(small_side(stored(this.select("term").distinct())), "term", "left_semi")
         found = wanted.join(listed, _same(wanted, listed, "term", "place"), "left_semi")
-        found = found.select("doc_id", "phrase", "start", "n_terms")
+        found = found.select("row", "phrase", "start", "n_terms")
     found = stored(found)
     others = small_side(stored(terms.where(F.col("rank") > lists).select("phrase", "offset", "term")))
     wanted = found.where(F.col("n_terms") > lists).join(others, "phrase").withColumn(
         "place", F.col("start") + F.col("offset"))
-    ids = small_side(stored(found.where(F.col("n_terms") > lists).select("doc_id").distinct()))
-    listed = index.join(ids, index["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+    ids = small_side(stored(found.where(F.col("n_terms") > lists).select("row").distinct()))
+    listed = index.join(ids, "row", "left_semi")
     confirmed = wanted.join(listed, _same(wanted, listed, "term", "place"), "left_semi")
-    confirmed = confirmed.groupBy("doc_id", "phrase", "start", "n_terms").agg(F.count("*").alias("n"))
-    return found.where(F.col("n_terms") <= lists).unionByName(
-        confirmed.where(F.col("n") == F.col("n_terms") - lists).drop("n"))
+    confirmed = confirmed.groupBy("row", "phrase", "start", "n_terms").agg(F.count("*").alias("n"))
+    return _named(found.where(F.col("n_terms") <= lists).unionByName(
+        confirmed.where(F.col("n") == F.col("n_terms") - lists).drop("n")), index)
 
 
 def proximity_matches(index: DataFrame, phrases: Phrases, distance: int) -> DataFrame:
-    """(doc_id, phrase, place): every other term lies within ``distance`` words of the rarest.
+    """(row, doc_id, phrase, place): every other term lies within ``distance`` words of the rarest.
 
     ``place`` is where the rarest term stands. Places are joined by blocks of ``distance`` words.
     """
     terms = by_rarity(index, phrases)
     rarest = small_side(stored(terms.where("rank = 1").select("phrase", "term", "n_terms")))
-    anchors = stored(index.join(rarest, "term").select("doc_id", "phrase", "place", "n_terms"))
+    anchors = stored(index.join(rarest, "term").select("row", "phrase", "place", "n_terms"))
     others = small_side(stored(terms.where("rank > 1").select("phrase", "offset", "term")))
     wanted = anchors.join(others, "phrase").select(
-        "doc_id", "phrase", F.col("place").alias("anchor"), "n_terms", "offset", "term",
+        "row", "phrase", F.col("place").alias("anchor"), "n_terms", "offset", "term",
         F.explode(F.array(*[F.floor(F.col("place") / distance) + k for k in (-1, 0, 1)])).alias("block"))
     listed = index.join(small_side(stored(others.select("term").distinct())), "term", "left_semi").withColumn(
         "block", F.floor(F.col("place") / distance))
     near = wanted.join(listed, _same(wanted, listed, "term", "block")
                        & (F.abs(wanted["anchor"] - listed["place"]) <= distance)
                        & (wanted["anchor"] != listed["place"]), "left_semi")
-    complete = near.groupBy("doc_id", "phrase", "anchor", "n_terms").agg(
+    complete = near.groupBy("row", "phrase", "anchor", "n_terms").agg(
         F.count_distinct("offset").alias("n")).where(F.col("n") == F.col("n_terms") - 1)
-    alone = anchors.where("n_terms = 1").select("doc_id", "phrase", "place")
-    return complete.select("doc_id", "phrase", F.col("anchor").alias("place")).unionByName(alone).distinct()
+    alone = anchors.where("n_terms = 1").select("row", "phrase", "place")
+    return _named(
+        complete.select("row", "phrase", F.col("anchor").alias("place")).unionByName(alone).distinct(), index)
 
 
 def words_hit(matches: DataFrame) -> DataFrame:
@@ -176,3 +185,11 @@ def clean_rows(documents: DataFrame, items: DataFrame, length: int = 10) -> Data
     found = decontaminated(documents, items, length)
     hit = small_side(stored(found.where("contaminated").select(F.col("doc_id").alias("hit_id")).distinct()))
     return documents.join(hit, documents["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")
+
+
+def rows_of_clean_texts(documents: DataFrame, items: DataFrame, length: int = 10) -> DataFrame:
+    """The rows of ``documents`` whose own text has no hit, with all their columns, whatever their ids."""
+    key = F.unhex(F.sha2("text", 256))
+    found = decontaminated(documents.select(key.alias("doc_id"), "text"), items, length)
+    hit = small_side(stored(found.where("contaminated").select(F.col("doc_id").alias("hit_text")).distinct()))
+    return documents.join(hit, key == hit["hit_text"], "left_anti")

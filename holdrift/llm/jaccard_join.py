@@ -376,15 +376,19 @@ def _links_between(tokens: DataFrame, comps: DataFrame, sets: DataFrame, like: S
 def one_of_each(documents: DataFrame, like: Similarity = Similarity()) -> DataFrame:
     """``documents`` with one row of each component, that of the smallest doc_id, and all columns.
 
-    Repeated rows of that doc_id are reduced to one by text. Rows without an id cannot be
-    told apart and stay; an id that stands for several texts goes with any of them.
+    Rows are told apart by id and text, so that a row goes only for its own text, whatever ids repeat; rows
+    without an id come last. Repeated rows are reduced to one, but for those without id and words.
     """
-    rows = stored(joined(documents, like))
-    dropped = small_side(stored(rows.where("doc_id != component_id").select("doc_id").distinct()))
-    kept = documents.join(dropped, "doc_id", "left_anti").select(*documents.columns)
-    twice = stored(rows.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"),
+                   F.unhex(F.sha2("text", 256)).alias("text"))
+    rows = stored(joined(documents.select(key.alias("doc_id"), "text"), like))
+    dropped = small_side(stored(rows.where("doc_id != component_id").select(F.col("doc_id").alias("row")).distinct()))
+    kept = documents.join(dropped, key == dropped["row"], "left_anti").select(*documents.columns)
+    twice = stored(rows.where("n_shingles > 0 OR NOT doc_id.no_id").groupBy(F.col("doc_id").alias("row")).count().where(
+        "count > 1").select("row"))
     if twice.isEmpty():
         return kept
     twice = small_side(twice)
-    return kept.join(twice, "doc_id", "left_anti").unionByName(
-        kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])).select(*documents.columns)
+    return kept.join(twice, key == twice["row"], "left_anti").unionByName(
+        kept.join(twice, key == twice["row"], "left_semi").dropDuplicates(["doc_id", "text"])).select(
+            *documents.columns)

@@ -88,6 +88,21 @@ def test_edges(spark):
     assert kept.columns == documents(spark, EDGES).columns
 
 
+def test_rows_with_null_or_repeated_ids(spark):
+    """No phrase is put together from the words of different rows, and no row goes for another's hit."""
+    half, rest = "x x x x x six seven eight nine ten", "one two three four five y y y y y"
+    item = "one two three four five six seven eight nine ten"
+    rows = [(None, half), (None, rest), (1, half), (1, rest), (2, item), (2, "clean"), (None, "zzz " + item)]
+    items = item_table(spark, [(7, item)])
+    found = decontaminate.decontaminated(documents(spark, rows[:4]), items).collect()
+    assert [r["n_hit"] for r in found] == [0, 0, 0, 0] and not any(r["contaminated"] for r in found)
+    table = documents(spark, rows)
+    kept = decontaminate.rows_of_clean_texts(table, items)
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == sorted(
+        (k or 0, t) for k, t in rows if item not in t)
+    assert kept.columns == table.columns
+
+
 def test_empty_tables(spark):
     docs, items = documents(spark, EDGES), item_table(spark, [(1, "one")])
     assert decontaminate.decontaminated(docs.limit(0), items).count() == 0

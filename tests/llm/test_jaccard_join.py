@@ -75,6 +75,15 @@ def test_one_of_each(spark):
     assert found.columns == documents(spark, EDGES).columns
 
 
+def test_one_of_each_by_row(spark):
+    """A text stays though its repeated id has a copy elsewhere; rows without id lose copies only."""
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (2, "another text that has no copy"), (2, "a b c d e f"),
+            (None, "a b c d e f"), (None, "g h i j k l"), (None, "g h i j k l"), (None, ""), (None, "")]
+    found = jaccard_join.one_of_each(documents(spark, rows), jaccard_join.Similarity(3, 90))
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in found.collect()) == [
+        (0, ""), (0, ""), (0, "g h i j k l"), (1, "a b c d e f"), (2, "another text that has no copy")]
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(200, 201), (7, 7)]
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
