@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_names():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in QUERIES) == 1
     assert "pipeline" in QUERIES and set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
