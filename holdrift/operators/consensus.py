@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from holdrift.fixed_values import CASH_ISIN
 from holdrift.functions.text import blank_to_null
-from holdrift.operators.deltas import ADDITION, CHANGE, REMOVAL
+from holdrift.operators.deltas import ADDITION, CHANGE, EXACT, REMOVAL
 from holdrift.plans.joins import join_side, local_table
 
 _LISTINGS = T.StructType([
@@ -100,6 +100,14 @@ def _first_named(c) -> Column:
     return F.min(F.when(F.col(c).isNotNull(), place))[c].alias(c)
 
 
+def _value_sum(rows: DataFrame, value: Column) -> Column:
+    """Sum of value differences; of stored doubles as decimals, so that it does not depend on an order."""
+    if rows.schema["delta_market_value"].dataType.typeName() == "double":
+        value = value.try_cast(EXACT)
+        return F.sum(value).cast("double").alias("total_delta_market_value")
+    return F.sum(value).alias("total_delta_market_value")
+
+
 def signals(details: DataFrame) -> DataFrame:
     """One row per security: voting funds, directions, and the summed value difference."""
     moved = F.coalesce(F.col("delta_weight_pct"), F.lit(0))
@@ -112,7 +120,7 @@ def signals(details: DataFrame) -> DataFrame:
         F.count_if(moved < 0).alias("n_etfs_weight_down"),
         F.count_if(F.col("delta_type") == ADDITION).alias("n_etfs_added"),
         F.count_if(F.col("delta_type") == REMOVAL).alias("n_etfs_removed"),
-        F.sum(value).alias("total_delta_market_value"),
+        _value_sum(details, value),
     )
 
 
@@ -135,7 +143,7 @@ def plain_signals(deltas: DataFrame, min_funds=2) -> DataFrame:
         F.count_if(F.col("delta_weight_pct") < 0).alias("n_etfs_weight_down"),
         F.count_if(F.col("delta_type") == ADDITION).alias("n_etfs_added"),
         F.count_if(F.col("delta_type") == REMOVAL).alias("n_etfs_removed"),
-        F.sum("delta_market_value").alias("total_delta_market_value"),
+        _value_sum(rows, F.col("delta_market_value")),
     )
     return found.filter(F.col("n_etfs") >= min_funds)
 

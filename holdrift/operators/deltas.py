@@ -15,7 +15,7 @@ _INPUT = [
 ]
 _MEASURES = ["shares_held", "market_value", "weight_pct"]
 _LABELS = ["constituent_ticker", "constituent_name"]
-_EXACT = "decimal(28,6)"
+EXACT = "decimal(28,6)"
 
 
 def compared_rows(history: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -50,7 +50,7 @@ def exact_measures(rows: DataFrame) -> DataFrame:
     What a decimal of 28 digits cannot hold (infinite, not a number) is missing.
     """
     floating = [f.name for f in rows.schema.fields if f.name in _MEASURES and f.dataType.typeName() == "double"]
-    return rows.withColumns({name: F.col(name).try_cast(_EXACT) for name in floating})
+    return rows.withColumns({name: F.col(name).try_cast(EXACT) for name in floating})
 
 
 def as_stored(deltas: DataFrame, like: DataFrame) -> DataFrame:

@@ -63,18 +63,19 @@ def run_status(universe: DataFrame, outcomes: DataFrame, appended: DataFrame) ->
 
 
 def ingest(docs: DataFrame, universe: DataFrame, folder: str, run_date, overrides=None,
-           known=None, resolve_first=False) -> DataFrame:
+           known=None, resolve_first=False, append=history.append_snapshots) -> DataFrame:
     """Reads, normalises, resolves and appends; returns the status per fund and document.
 
-    A repeated run finds the dates stored and appends nothing.
+    A repeated run finds the dates stored and appends nothing. ``append``: how rows are stored; with
+    ``ledger.append_run`` runs are committed whole and may overlap.
     """
     read = settled(documents.read_documents(docs))
-    return ingest_parsed(read, universe, folder, run_date, overrides, known, resolve_first)
+    return ingest_parsed(read, universe, folder, run_date, overrides, known, resolve_first, append)
 
 
 def ingest_parsed(read: DataFrame, universe: DataFrame, folder: str, run_date, overrides=None,
-                  known=None, resolve_first=False) -> DataFrame:
+                  known=None, resolve_first=False, append=history.append_snapshots) -> DataFrame:
     """The same for documents that are parsed and stored already."""
     outcomes, rows = prepared_parsed(read, overrides, known, resolve_first)
-    appended = history.append_snapshots(rows, folder, run_date, BATCH)
+    appended = append(rows, folder, run_date, BATCH)
     return run_status(universe, outcomes, appended)

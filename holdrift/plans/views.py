@@ -31,16 +31,24 @@ class Flow(NamedTuple):
         return counts.withColumn("total_cross_etf_signals", total.scalar())
 
 
-def daily_deltas(history, universe, source=DEFAULT_SOURCE, as_of=None) -> DataFrame:
-    """Deltas of every fund's two newest snapshots of a source, optionally up to a date."""
-    dates = snapshots.snapshot_dates(history, source, as_of)
+def _known_dates(history, dates, source, as_of=None) -> DataFrame:
+    """Snapshot dates from a dates index, or else from a scan of the history."""
+    return snapshots.snapshot_dates(history if dates is None else dates, source, as_of)
+
+
+def daily_deltas(history, universe, source=DEFAULT_SOURCE, as_of=None, dates=None) -> DataFrame:
+    """Deltas of every fund's two newest snapshots of a source, optionally up to a date.
+
+    ``dates``: a dates index of the history (``sources.ledger``); without it the history is scanned for them.
+    """
+    dates = _known_dates(history, dates, source, as_of)
     found = deltas.position_deltas(history, snapshots.latest_pairs(dates), universe)
     return found.drop("pair_date")
 
 
-def history_deltas(history, universe, source=DEFAULT_SOURCE) -> DataFrame:
+def history_deltas(history, universe, source=DEFAULT_SOURCE, dates=None) -> DataFrame:
     """Deltas of all consecutive snapshots in one job; ``pair_date`` is the newer date."""
-    dates = snapshots.snapshot_dates(history, source)
+    dates = _known_dates(history, dates, source)
     return deltas.consecutive_deltas(history, join_side(snapshots.neighbouring_dates(dates)), universe)
 
 
@@ -90,8 +98,8 @@ class Views(NamedTuple):
     aligned_date: DataFrame
 
 
-def latest_view(history, universe, config=None, source=DEFAULT_SOURCE) -> Flow:
-    found = daily_deltas(history, universe, source)
+def latest_view(history, universe, config=None, source=DEFAULT_SOURCE, dates=None) -> Flow:
+    found = daily_deltas(history, universe, source, dates=dates)
     return scoped(reported(found, config), drop=coverage.paused(universe))
 
 
@@ -105,21 +113,21 @@ def _dates_up_to(dates: DataFrame, pinned: DataFrame) -> DataFrame:
     return dates.filter(F.col("as_of_date") <= limit)
 
 
-def aligned_view(history, universe, config=None, source=DEFAULT_SOURCE, keep=False) -> Flow:
+def aligned_view(history, universe, config=None, source=DEFAULT_SOURCE, keep=False, dates=None) -> Flow:
     """The view in which every fund is pinned to a date all have reached."""
-    dates, paused = settled(snapshots.snapshot_dates(history, source)), coverage.paused(universe)
+    dates, paused = settled(_known_dates(history, dates, source)), coverage.paused(universe)
     pinned = snapshots.aligned_date(snapshots.latest_date_per_fund(dates), paused)
     return _view(history, universe, config, _dates_up_to(dates, pinned), paused, keep)
 
 
-def both_views(history, universe, config=None, source=DEFAULT_SOURCE, keep=False) -> Views:
+def both_views(history, universe, config=None, source=DEFAULT_SOURCE, keep=False, dates=None) -> Views:
     """Latest view, and the one in which every fund is pinned to a date all have reached.
 
-    The snapshot dates are read from the history once for both. Without any date the
+    The snapshot dates are read once for both, from the dates index if one is given. Without any date the
     aligned view compares what the latest one does. With ``keep`` the deltas of each view are
     computed once and stored, for callers that use several of its tables.
     """
-    dates = settled(snapshots.snapshot_dates(history, source))
+    dates = settled(_known_dates(history, dates, source))
     paused = coverage.paused(universe)
     latest_stored = snapshots.latest_date_per_fund(dates)
     pinned = snapshots.aligned_date(latest_stored, paused)

@@ -17,6 +17,7 @@ from pyspark.sql.utils import AnalysisException
 from holdrift.plans.ingest import ingest_parsed
 from holdrift.schemas import DOCUMENTS
 from holdrift.sources import documents
+from holdrift.sources.history import append_snapshots
 
 
 def landing_stream(spark: SparkSession, folder: str, files_per_batch=1000) -> DataFrame:
@@ -54,7 +55,7 @@ def pending(spark: SparkSession, work: str):
 
 
 def ingest_available(docs: DataFrame, universe: DataFrame, folder: str, work: str, run_date,
-                     overrides=None, known=None):
+                     overrides=None, known=None, append=append_snapshots):
     """Ingests all landed documents of the stream ``docs``; returns their statuses, or None without news.
 
     ``work`` holds the parsed documents, the stream's progress, and the statuses per run.
@@ -64,7 +65,7 @@ def ingest_available(docs: DataFrame, universe: DataFrame, folder: str, work: st
     parsed, upto = pending(spark, work)
     if upto is None:
         return None
-    status = ingest_parsed(parsed, universe, folder, run_date, overrides, known)
+    status = ingest_parsed(parsed, universe, folder, run_date, overrides, known, append=append)
     # Funds without a document in this run have no news.
     status.where(F.col("path").isNotNull()).withColumn("upto", F.lit(upto).cast(T.LongType())).write.mode(
         "append").parquet(f"{work}/finished")

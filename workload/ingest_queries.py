@@ -252,14 +252,14 @@ def resolution_counts(spark, folder):
 
 # --- storing ----------------------------------------------------------------------------
 
-_STORED = """as_of_date, etf_ticker, constituent_ticker, constituent_name, isin, sedol,
+STORED = """as_of_date, etf_ticker, constituent_ticker, constituent_name, isin, sedol,
   CAST(shares_held AS DOUBLE) AS shares_held, CAST(market_value AS DOUBLE) AS market_value,
   CAST(weight_pct AS DOUBLE) AS weight_pct, currency, sector, country, asset_class,
   instrument_type, source"""
 
 
 @query("stored_columns", sql(f"""
-SELECT {_STORED.replace('asset_class,', 'NULL AS asset_class,').replace(
+SELECT {STORED.replace('asset_class,', 'NULL AS asset_class,').replace(
     'instrument_type,', 'NULL AS instrument_type,')} FROM holdings"""))
 def stored_columns(spark, folder):
     return history.with_history_columns(
@@ -271,8 +271,8 @@ SELECT NULL AS as_of_date, etf_ticker, constituent_ticker,
   'as_of_date, etf_ticker' || chr(10) || coalesce(constituent_name, '') AS constituent_name,
   NULL AS isin, NULL AS sedol, NULL AS shares_held, NULL AS market_value, NULL AS weight_pct, NULL AS currency,
   NULL AS sector, NULL AS country, NULL AS asset_class, NULL AS instrument_type, NULL AS source
-FROM holdings WHERE etf_ticker = 'F1' UNION ALL SELECT {_STORED.replace('asset_class,', "nullif(asset_class, '') AS asset_class,")} FROM holdings
-WHERE source = 'web_csv' UNION ALL SELECT {_STORED.replace('asset_class,', 'NULL AS asset_class,').replace(
+FROM holdings WHERE etf_ticker = 'F1' UNION ALL SELECT {STORED.replace('asset_class,', "nullif(asset_class, '') AS asset_class,")} FROM holdings
+WHERE source = 'web_csv' UNION ALL SELECT {STORED.replace('asset_class,', 'NULL AS asset_class,').replace(
     'instrument_type,', 'NULL AS instrument_type,')} FROM holdings WHERE source = 'manual'"""))
 def csv_history_scan(spark, folder):
     rows = history.with_history_columns(holdings(spark, folder))
@@ -301,10 +301,11 @@ def batch_dates(spark, folder):
     return history.batch_heads(rows, ("etf_ticker", "year"))
 
 
-# Incoming: the manual rows as one batch per fund and quarter, with a second, later-numbered
-# batch of some quarters. Stored: the other rows before 2001.
+# Stored: the rows of the usual source before 1999. Incoming: all others, as up to three batches per
+# fund and quarter, of which the first is ingested, if its date is neither stored nor after the run.
 _INCOMING = """
-SELECT *, CASE WHEN country = 'AU' THEN 2 ELSE 1 END AS batch FROM holdings WHERE source = 'manual'"""
+SELECT *, CASE WHEN source = 'web_csv' THEN 0 WHEN country = 'AU' THEN 2 ELSE 1 END AS batch
+FROM holdings WHERE source <> 'web_csv' OR as_of_date >= DATE '1999-01-01'"""
 _HEADS = """
 SELECT etf_ticker, batch, day AS as_of_date, CASE WHEN day > DATE '2001-04-15' THEN 'future_date'
   WHEN stored OR turn > 1 THEN 'skipped' ELSE 'ingested' END AS status, n
@@ -313,64 +314,64 @@ FROM (SELECT *, row_number() OVER (PARTITION BY etf_ticker, day ORDER BY quarter
     bool_or(EXISTS (SELECT 1 FROM kept k WHERE k.etf_ticker = i.etf_ticker
                     AND k.as_of_date = i.as_of_date)) AS stored
   FROM incoming i GROUP BY ALL))"""
-_STORE = {"incoming": _INCOMING, "heads": _HEADS, "kept": """
+STORE = {"incoming": _INCOMING, "heads": _HEADS, "kept": """
 SELECT DISTINCT etf_ticker, as_of_date FROM holdings
-WHERE source = 'web_csv' AND as_of_date < DATE '2001-01-01'"""}
+WHERE source = 'web_csv' AND as_of_date < DATE '1999-01-01'"""}
 
 
-def _store_case(spark, folder):
+def store_case(spark, folder):
     rows = holdings(spark, folder).withColumn("quarter", F.col("as_of_date"))
-    incoming = rows.filter("source = 'manual'").withColumn(
-        "batch", F.when(F.col("country") == "AU", 2).otherwise(1))
-    stored = rows.filter("source = 'web_csv' AND as_of_date < DATE'2001-01-01'")
+    incoming = rows.filter("source <> 'web_csv' OR as_of_date >= DATE'1999-01-01'").withColumn(
+        "batch", F.when(F.col("source") == "web_csv", 0).when(F.col("country") == "AU", 2).otherwise(1))
+    stored = rows.filter("source = 'web_csv' AND as_of_date < DATE'1999-01-01'")
     return incoming, stored
 
 
-_BATCHES = ("etf_ticker", "quarter", "batch")
+BATCHES = ("etf_ticker", "quarter", "batch")
 
 
 @query("append_status", sql("""
 SELECT etf_ticker, batch, status, CASE WHEN status <> 'future_date' THEN as_of_date END AS as_of_date,
-  CASE WHEN status = 'ingested' THEN n ELSE 0 END AS n_today FROM heads""", **_STORE))
+  CASE WHEN status = 'ingested' THEN n ELSE 0 END AS n_today FROM heads""", **STORE))
 def append_status(spark, folder):
-    incoming, stored = _store_case(spark, folder)
+    incoming, stored = store_case(spark, folder)
     judged = history.judged_heads(
-        history.batch_heads(incoming, _BATCHES), stored, date(2001, 4, 15), _BATCHES)
-    return history.status_rows(judged, _BATCHES).drop("quarter")
+        history.batch_heads(incoming, BATCHES), stored, date(2001, 4, 15), BATCHES)
+    return history.status_rows(judged, BATCHES).drop("quarter")
 
 
 @query("appended_rows", sql(f"""
-SELECT {_STORED.replace('source', "'web_csv' AS source")} FROM incoming
+SELECT {STORED.replace('source', "'web_csv' AS source")} FROM incoming
 SEMI JOIN (SELECT * FROM heads WHERE status = 'ingested') h
   ON h.etf_ticker = incoming.etf_ticker AND h.as_of_date = incoming.as_of_date
-     AND h.batch = incoming.batch""", **_STORE))
+     AND h.batch = incoming.batch""", **STORE))
 def appended_rows(spark, folder):
-    incoming, stored = _store_case(spark, folder)
+    incoming, stored = store_case(spark, folder)
     judged = history.judged_heads(
-        history.batch_heads(incoming, _BATCHES), stored, date(2001, 4, 15), _BATCHES)
-    return history.new_rows(incoming, judged, _BATCHES)
+        history.batch_heads(incoming, BATCHES), stored, date(2001, 4, 15), BATCHES)
+    return history.new_rows(incoming, judged, BATCHES)
 
 
 @query("stored_and_appended", sql("""
 SELECT as_of_date, count(*) AS n_rows, count(DISTINCT etf_ticker) AS n_funds FROM (
   SELECT as_of_date, etf_ticker FROM holdings
-  WHERE source = 'web_csv' AND as_of_date < DATE '2001-01-01' UNION ALL
+  WHERE source = 'web_csv' AND as_of_date < DATE '1999-01-01' UNION ALL
   SELECT incoming.as_of_date, incoming.etf_ticker FROM incoming
   SEMI JOIN (SELECT * FROM heads WHERE status = 'ingested') h
     ON h.etf_ticker = incoming.etf_ticker AND h.as_of_date = incoming.as_of_date
-       AND h.batch = incoming.batch) GROUP BY as_of_date""", **_STORE))
+       AND h.batch = incoming.batch) GROUP BY as_of_date""", **STORE))
 def stored_and_appended(spark, folder):
-    incoming, stored = _store_case(spark, folder)
+    incoming, stored = store_case(spark, folder)
     target = scratch(spark, "history")
     history.write_history(history.with_history_columns(stored), target)
     for _ in range(2):  # the second run must change nothing
-        history.append_snapshots(incoming, target, date(2001, 4, 15), _BATCHES)
+        history.append_snapshots(incoming, target, date(2001, 4, 15), BATCHES)
     return history.read_history(spark, target).groupBy("as_of_date").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("etf_ticker").alias("n_funds"))
 
 
 @query("exported_rows", sql(f"""
-SELECT {_STORED} FROM holdings WHERE source = 'web_csv'
+SELECT {STORED} FROM holdings WHERE source = 'web_csv'
 AND etf_ticker IN (SELECT etf_ticker FROM universe WHERE issuer = 'globalx')"""))
 def exported_rows(spark, folder):
     funds = universe(spark, folder).filter("issuer = 'globalx'")
@@ -407,7 +408,7 @@ def _unstamped(spark, folder):
     return holdings(spark, folder).withColumn("sector", sector)
 
 
-@query("restamped_rows", sql(f"SELECT {_STORED} FROM restamped", restamped=_RESTAMPED))
+@query("restamped_rows", sql(f"SELECT {STORED} FROM restamped", restamped=_RESTAMPED))
 def restamped_rows(spark, folder):
     return history.restamped(_unstamped(spark, folder))
 
