@@ -20,9 +20,7 @@ EXACT = "decimal(28,6)"
 
 def compared_rows(history: DataFrame, pairs: DataFrame) -> DataFrame:
     """Tracked rows of the compared snapshots with their ``delta_key``."""
-    tracked = history.select(*_INPUT).filter(is_trackable())
-    return rows_of_pairs(tracked, pairs).withColumn(
-        "delta_key", F.coalesce("isin", "constituent_ticker"))
+    return rows_of_pairs(tracked_positions(history), pairs)
 
 
 def _rollup(only: Column | None = None, prefix="") -> list[Column]:
@@ -97,15 +95,24 @@ def paired_positions_by_join(rows: DataFrame) -> DataFrame:
 _MEASURED = ["as_of_date", "isin", *_LABELS, *_MEASURES]
 
 
-def consecutive_positions(rows: DataFrame, following: DataFrame) -> DataFrame:
+def tracked_positions(history: DataFrame) -> DataFrame:
+    """Tracked rows with their ``delta_key``, and only the columns that deltas need."""
+    return history.select(*_INPUT).filter(is_trackable()).withColumn(
+        "delta_key", F.coalesce("isin", "constituent_ticker"))
+
+
+def consecutive_positions(rows: DataFrame, following: DataFrame, laid_out=False) -> DataFrame:
     """Every position of every snapshot beside the one before, from one shuffle of the rows.
 
+    With ``laid_out`` the rows lie in buckets of positions already (``sources.layout``) and are not shuffled.
+
     ``rows`` have their ``delta_key``; ``following`` tells, per fund and date, the fund's ``previous_date``
     and ``next_date``. Lots are summed per position and date; the neighbours of a position in
     time tell whether the snapshots next to it hold it too. Positions without any key match nothing.
     """
     dated = rows.join(following, [*FUND, "as_of_date"])
-    placed = dated.repartition(*FUND, "delta_key").groupBy(
+    dated = dated if laid_out else dated.repartition(*FUND, "delta_key")
+    placed = dated.groupBy(
         *FUND, "delta_key", F.col("as_of_date").alias("pair_date"), "previous_date", "next_date").agg(*_rollup())
     own = F.struct(*_MEASURED)
     in_time = Window.partitionBy(*FUND, "delta_key").orderBy("pair_date")
@@ -125,10 +132,13 @@ def consecutive_positions(rows: DataFrame, following: DataFrame) -> DataFrame:
 
 def consecutive_deltas(history: DataFrame, following: DataFrame, universe: DataFrame) -> DataFrame:
     """Additions, removals and changes between all consecutive snapshots of every fund."""
-    tracked = history.select(*_INPUT).filter(is_trackable()).withColumn(
-        "delta_key", F.coalesce("isin", "constituent_ticker"))
-    paired = consecutive_positions(exact_measures(tracked), following)
-    return with_vertical(as_stored(delta_rows(paired), history), universe)
+    return deltas_of_positions(tracked_positions(history), following, universe)
+
+
+def deltas_of_positions(positions: DataFrame, following: DataFrame, universe: DataFrame, laid_out=False) -> DataFrame:
+    """The same for tracked rows that have their ``delta_key``."""
+    paired = consecutive_positions(exact_measures(positions), following, laid_out)
+    return with_vertical(as_stored(delta_rows(paired), positions), universe)
 
 
 def delta_type() -> Column:
@@ -174,8 +184,13 @@ def with_vertical(deltas: DataFrame, universe: DataFrame) -> DataFrame:
 
 def position_deltas(history: DataFrame, pairs: DataFrame, universe: DataFrame) -> DataFrame:
     """Additions, removals and changes of every position between the paired snapshots."""
-    paired = paired_positions(exact_measures(compared_rows(history, pairs)))
-    return with_vertical(as_stored(delta_rows(paired), history), universe)
+    return deltas_of_paired(tracked_positions(history), pairs, universe)
+
+
+def deltas_of_paired(positions: DataFrame, pairs: DataFrame, universe: DataFrame) -> DataFrame:
+    """The same for tracked rows that have their ``delta_key``; those in buckets of positions are not shuffled."""
+    paired = paired_positions(exact_measures(rows_of_pairs(positions, pairs)))
+    return with_vertical(as_stored(delta_rows(paired), positions), universe)
 
 
 def is_material() -> Column:

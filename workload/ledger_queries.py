@@ -1,17 +1,19 @@
-"""Queries about a history of committed runs and its dates index."""
+"""Queries about stored histories: committed runs, the dates index, positions in buckets."""
 
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
 
 from holdrift.plans import views
-from holdrift.sources import history, ledger
+from holdrift.sources import history, layout, ledger
 from workload.ingest_queries import BATCHES, STORE, STORED, scratch, store_case
 from workload.registry import query
 from workload.sql import sql
 from workload.tables import CONFIG, as_doubles, holdings, universe
 
 RUN_DATE = date(2001, 4, 15)
+BUCKETS = 16
 
 _AFTER = {**STORE, "ledger_rows": f"""
 SELECT {STORED} FROM holdings WHERE source = 'web_csv' AND as_of_date < DATE '1999-01-01' UNION ALL
@@ -92,3 +94,25 @@ def daily_deltas_by_dates_index(spark, folder):
 def aligned_signals_by_dates_index(spark, folder):
     stored = _ledger(spark, folder)
     return as_doubles(views.aligned_view(stored.rows, universe(spark, folder), CONFIG, dates=stored.dates).signals)
+
+
+def _positions(spark, folder):
+    """The holdings in buckets, written in two steps: a history and what came later."""
+    rows = history.with_history_columns(holdings(spark, folder))
+    name, target = f"positions_{uuid.uuid4().hex}", scratch(spark, "positions")
+    later = F.col("as_of_date") >= F.lit(date(2000, 1, 1))
+    layout.write_positions(rows.filter(~later), name, target, BUCKETS)
+    layout.write_positions(rows.filter(later), name, target, BUCKETS, mode="append")
+    return spark.table(name), ledger.dates_of(rows)
+
+
+@query("history_deltas_of_buckets", sql("SELECT * FROM deltas_all"))
+def history_deltas_of_buckets(spark, folder):
+    positions, dates = _positions(spark, folder)
+    return layout.history_deltas(positions, universe(spark, folder), dates)
+
+
+@query("daily_deltas_of_buckets", sql(f"{_ALL_BUT_PAIR} deltas"))
+def daily_deltas_of_buckets(spark, folder):
+    positions, dates = _positions(spark, folder)
+    return layout.daily_deltas(positions, universe(spark, folder), dates)
