@@ -76,26 +76,43 @@ def forced_keys(overrides: DataFrame) -> DataFrame:
         "table", "key").agg(F.max_by("isin", "place").alias("isin"))
 
 
-def crosswalk(rows: DataFrame) -> DataFrame:
-    """Lookup rows from holdings that state an ISIN: (table, key, isin); ISIN NULL if ambiguous.
+def crosswalk_state(rows: DataFrame) -> DataFrame:
+    """Per key of holdings that state an ISIN the smallest and largest one: (table, key, low, high).
 
-    All four kinds of key are built in one pass. Smallest and largest ISIN tell whether a
-    key is unique, and both are combined before the shuffle, however common the key is.
+    All four kinds of key are built in one pass, and both ISINs are combined before the shuffle,
+    however common the key is. States of parts of the rows can be merged.
     """
     base, country = base_ticker("constituent_ticker"), normal_country("country")
     known = rows.filter(is_isin("isin") & (F.col("isin") != CASH_ISIN))
     keys = known.select("isin", _keyed(
         (FULL, normal_ticker("constituent_ticker")), (PAIR, _pair(base, country)), (BASE, base),
         (NAME, normal_name("constituent_name"))))
-    agreed = keys.filter(F.col("key").isNotNull()).groupBy("table", "key").agg(
+    return keys.filter(F.col("key").isNotNull()).groupBy("table", "key").agg(
         F.min("isin").alias("low"), F.max("isin").alias("high"))
-    return agreed.select(
-        "table", "key", F.when(F.col("low") == F.col("high"), F.col("low")).alias("isin"))
 
 
-def isin_lookup(rows: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
-    """All lookup rows: operator settings and the crosswalk of the given holdings."""
-    found = crosswalk(rows)
+def merged_states(states: DataFrame) -> DataFrame:
+    """One state of the rows of several: the state of all of them, without reading them again."""
+    return states.groupBy("table", "key").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+
+
+def crosswalk_of(state: DataFrame) -> DataFrame:
+    """Lookup rows of a state: (table, key, isin); ISIN NULL if the rows of a key disagree."""
+    return state.select("table", "key", F.when(F.col("low") == F.col("high"), F.col("low")).alias("isin"))
+
+
+def crosswalk(rows: DataFrame) -> DataFrame:
+    """Lookup rows from holdings that state an ISIN: (table, key, isin); ISIN NULL if ambiguous."""
+    return crosswalk_of(crosswalk_state(rows))
+
+
+def isin_lookup(rows: DataFrame, overrides: DataFrame | None = None, state: DataFrame | None = None) -> DataFrame:
+    """All lookup rows: operator settings and the crosswalk of the given holdings.
+
+    ``state``: a kept crosswalk state of other holdings, which count as if they were given too.
+    """
+    own = crosswalk_state(rows)
+    found = crosswalk_of(own if state is None else merged_states(own.unionByName(state)))
     return found if overrides is None else found.unionByName(forced_keys(overrides))
 
 

@@ -12,17 +12,18 @@ BATCH = ("etf_ticker", "path")
 
 
 def prepared_rows(docs: DataFrame, overrides=None, known: DataFrame | None = None,
-                  resolve_first=False):
+                  resolve_first=False, keys: DataFrame | None = None):
     """Document outcomes and normalised rows with ISINs filled; the documents are parsed once."""
-    return prepared_parsed(settled(documents.read_documents(docs)), overrides, known, resolve_first)
+    return prepared_parsed(settled(documents.read_documents(docs)), overrides, known, resolve_first, keys)
 
 
 def prepared_parsed(read: DataFrame, overrides=None, known: DataFrame | None = None,
-                    resolve_first=False):
+                    resolve_first=False, keys: DataFrame | None = None):
     """Outcomes and rows of parsed documents, a stored table.
 
     ISINs come from all rows of this run, or from ``known`` holdings such as the stored
-    history. They never come from a part of the run.
+    history. They never come from a part of the run. ``keys``, a kept crosswalk state (``ledger.Ledger.keys``),
+    adds to this run's rows those of the history, without reading it.
     """
     raw = documents.raw_rows(read)
     if known is not None:
@@ -30,7 +31,7 @@ def prepared_parsed(read: DataFrame, overrides=None, known: DataFrame | None = N
         rows = normalised(raw, BATCH, lookup=lookup, resolve_first=resolve_first)
     else:
         rows = settled(normalised(raw, BATCH))
-        rows = fill_isins(rows, isin_lookup(rows, overrides))
+        rows = fill_isins(rows, isin_lookup(rows, overrides, keys))
     return documents.outcomes(read), settled(rows)
 
 
@@ -63,19 +64,21 @@ def run_status(universe: DataFrame, outcomes: DataFrame, appended: DataFrame) ->
 
 
 def ingest(docs: DataFrame, universe: DataFrame, folder: str, run_date, overrides=None,
-           known=None, resolve_first=False, append=history.append_snapshots) -> DataFrame:
+           known=None, resolve_first=False, append=history.append_snapshots,
+           keys=None) -> DataFrame:
     """Reads, normalises, resolves and appends; returns the status per fund and document.
 
     A repeated run finds the dates stored and appends nothing. ``append``: how rows are stored; with
     ``ledger.append_run`` runs are committed whole and may overlap.
     """
     read = settled(documents.read_documents(docs))
-    return ingest_parsed(read, universe, folder, run_date, overrides, known, resolve_first, append)
+    return ingest_parsed(read, universe, folder, run_date, overrides, known, resolve_first, append, keys)
 
 
 def ingest_parsed(read: DataFrame, universe: DataFrame, folder: str, run_date, overrides=None,
-                  known=None, resolve_first=False, append=history.append_snapshots) -> DataFrame:
+                  known=None, resolve_first=False, append=history.append_snapshots,
+                  keys=None) -> DataFrame:
     """The same for documents that are parsed and stored already."""
-    outcomes, rows = prepared_parsed(read, overrides, known, resolve_first)
+    outcomes, rows = prepared_parsed(read, overrides, known, resolve_first, keys)
     appended = append(rows, folder, run_date, BATCH)
     return run_status(universe, outcomes, appended)

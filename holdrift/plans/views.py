@@ -108,7 +108,7 @@ def _view(history, universe, config, dates, paused, keep) -> Flow:
     return scoped(reported(settled(found) if keep else found, config), drop=paused)
 
 
-def _dates_up_to(dates: DataFrame, pinned: DataFrame) -> DataFrame:
+def dates_up_to(dates: DataFrame, pinned: DataFrame) -> DataFrame:
     limit = F.coalesce(pinned.scalar(), F.lit("9999-12-31").cast("date"))
     return dates.filter(F.col("as_of_date") <= limit)
 
@@ -117,7 +117,7 @@ def aligned_view(history, universe, config=None, source=DEFAULT_SOURCE, keep=Fal
     """The view in which every fund is pinned to a date all have reached."""
     dates, paused = settled(_known_dates(history, dates, source)), coverage.paused(universe)
     pinned = snapshots.aligned_date(snapshots.latest_date_per_fund(dates), paused)
-    return _view(history, universe, config, _dates_up_to(dates, pinned), paused, keep)
+    return _view(history, universe, config, dates_up_to(dates, pinned), paused, keep)
 
 
 def both_views(history, universe, config=None, source=DEFAULT_SOURCE, keep=False, dates=None) -> Views:
@@ -133,7 +133,7 @@ def both_views(history, universe, config=None, source=DEFAULT_SOURCE, keep=False
     pinned = snapshots.aligned_date(latest_stored, paused)
     return Views(
         latest=_view(history, universe, config, dates, paused, keep),
-        aligned=_view(history, universe, config, _dates_up_to(dates, pinned), paused, keep),
+        aligned=_view(history, universe, config, dates_up_to(dates, pinned), paused, keep),
         latest_stored=latest_stored,
         aligned_date=pinned,
     )

@@ -12,7 +12,10 @@ run's number in the order of commits. Readers obey the commits: rows and dates o
 So each (fund, date) is stored exactly once, and which dates are stored is told by the index
 without reading the history. This rests on a rename that fails if the target exists, as HDFS has it.
 
-Folders: ``rows/run=…/as_of_date=…``, ``dates/run=…``, ``commits/<number>``.
+Each run also keeps its crosswalk state, the smallest and largest ISIN per ticker and name key. Merged over the
+committed runs they are the crosswalk of the whole history, which is not read for it.
+
+Folders: ``rows/run=…/as_of_date=…``, ``dates/run=…``, ``keys/run=…``, ``commits/<number>``.
 """
 
 import uuid
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdrift.fixed_values import DEFAULT_SOURCE
+from holdrift.operators.resolve import crosswalk_state, merged_states
 from holdrift.plans.joins import settled
 from holdrift.schemas import HISTORY
 from holdrift.sources import history
@@ -33,15 +37,17 @@ ROWS = T.StructType([*HISTORY.fields, RUN])
 DATES = T.StructType([
     T.StructField("etf_ticker", T.StringType()), T.StructField("source", T.StringType()),
     T.StructField("as_of_date", T.DateType()), T.StructField("n_rows", T.LongType()), RUN])
+KEYS = T.StructType([*(T.StructField(name, T.StringType()) for name in ("table", "key", "low", "high")), RUN])
 COMMIT = "run string, n_dates long"
 DAY = ["etf_ticker", "source", "as_of_date"]
 
 
 class Ledger(NamedTuple):
-    """What is committed; both tables are lazy."""
+    """What is committed; all tables are lazy."""
 
     rows: DataFrame   # the stored history
     dates: DataFrame  # etf_ticker, source, as_of_date, n_rows: the dates index
+    keys: DataFrame   # table, key, low, high: the crosswalk state of the rows
     version: int      # number of the last commit, -1 before the first
 
 
@@ -85,8 +91,9 @@ def read_ledger(spark: SparkSession, folder: str) -> Ledger:
     known = commits(spark, folder).collect()
     runs = F.col("run").isin([c.run for c in known])
     rows = _read(spark, f"{folder}/rows", ROWS).filter(runs)
-    return Ledger(history.with_history_columns(rows), _read(spark, f"{folder}/dates", DATES).filter(runs).drop("run"),
-                  max((c.version for c in known), default=-1))
+    dates = _read(spark, f"{folder}/dates", DATES).filter(runs).drop("run")
+    keys = merged_states(_read(spark, f"{folder}/keys", KEYS).filter(runs))
+    return Ledger(history.with_history_columns(rows), dates, keys, max((c.version for c in known), default=-1))
 
 
 def dates_of(rows: DataFrame, *more) -> DataFrame:
@@ -143,11 +150,12 @@ def staged_run(rows: DataFrame, folder: str, run_date, batch=("etf_ticker",), so
 
 
 def write_run(rows: DataFrame, folder: str, run: str) -> int:
-    """Writes rows and dates of an uncommitted run; returns the number of its dates."""
+    """Writes rows, dates and keys of an uncommitted run; returns the number of its dates."""
     spark = rows.sparkSession
     history.write_history(rows, f"{folder}/rows/run={run}", mode="errorifexists")
     written = spark.read.schema(HISTORY).parquet(f"{folder}/rows/run={run}")
     dates_of(written).coalesce(1).write.parquet(f"{folder}/dates/run={run}")
+    crosswalk_state(written).write.parquet(f"{folder}/keys/run={run}")
     return spark.read.parquet(f"{folder}/dates/run={run}").count()
 
 
@@ -205,12 +213,19 @@ def repair_dates(spark: SparkSession, folder: str) -> DataFrame:
     return differing
 
 
+def rebuild_keys(spark: SparkSession, folder: str) -> None:
+    """Writes the crosswalk states of all committed runs anew from their rows, as for a history that kept none."""
+    for commit in commits(spark, folder).collect():
+        rows = spark.read.schema(HISTORY).parquet(f"{folder}/rows/run={commit.run}")
+        crosswalk_state(rows).write.mode("overwrite").parquet(f"{folder}/keys/run={commit.run}")
+
+
 def remove_abandoned(spark: SparkSession, folder: str, older_than_seconds: float) -> list:
     """Deletes runs that were not committed and have not been written to for so long; returns their names."""
     hadoop, files, _ = _file_context(spark, folder)
     now = spark.sparkContext._jvm.System.currentTimeMillis()
     old = set()
-    for table in ("rows", "dates"):
+    for table in ("rows", "dates", "keys"):
         path = hadoop.Path(f"{folder}/{table}")
         for found in files.listStatus(path) if files.exists(path) else []:
             if now - found.getModificationTime() >= 1000 * older_than_seconds and found.getPath().getName().startswith("run="):
@@ -218,6 +233,6 @@ def remove_abandoned(spark: SparkSession, folder: str, older_than_seconds: float
     # Commits are read after the listing, so that a run committed meanwhile is not taken for abandoned.
     gone = sorted(old - {c.run for c in commits(spark, folder).collect()})
     for run in gone:
-        for table in ("dates", "rows"):
+        for table in ("keys", "dates", "rows"):
             files.delete(hadoop.Path(f"{folder}/{table}/run={run}"), True)
     return gone

@@ -5,7 +5,7 @@ from datetime import date
 
 import pytest
 
-from holdrift.operators import snapshots
+from holdrift.operators import resolve, snapshots
 from holdrift.plans import views
 from holdrift.plans.ingest import ingest
 from holdrift.sources import ledger
@@ -146,9 +146,31 @@ def test_ingest_into_a_ledger(spark, tmp_path):
     head = "as of 2026-06-01\nTicker,Name,Weight (%)\n"
     docs = documents(spark, [("a1", "A", "ishares", f"{head}X,Ex,60\nY,Why,40\n"), ("b1", "B", "ishares", f"{head}X,Ex,100\n")])
     for n, status in ((2, "ingested"), (0, "skipped")):
-        found = ingest(docs, funds, folder, date(2026, 6, 30), append=ledger.append_run)
+        found = ingest(docs, funds, folder, date(2026, 6, 30), append=ledger.append_run,
+                       keys=ledger.read_ledger(spark, folder).keys)
         assert ("A", status, n) in rows(found, "etf_ticker", "status", "n_today")
     docs.select(*DOCUMENTS.fieldNames()).write.parquet(str(tmp_path / "landing"))
     again = ingest_available(landing_stream(spark, str(tmp_path / "landing"), 1), funds, folder, str(tmp_path / "work"),
                              date(2026, 6, 30), append=ledger.append_run)
     assert rows(again, "status") == [("skipped",), ("skipped",)] and len(stored(spark, folder)) == 3
+
+
+def test_keys_of_runs_merge_to_those_of_the_whole_history(spark, tmp_path):
+    folder = str(tmp_path)
+    first = history(spark, [position("A", 1, "XX US", 1, isin="US0000000011", country="US", name="Quiet Harbour Inc"),
+                            position("A", 1, "YY", 1, isin="US0000000029"), position("A", 1, "ZZ", 1)])
+    second = history(spark, [position("B", 2, "XX AU", 1, isin="AU0000000037", country="AU", name="Quiet Harbour"),
+                             position("B", 2, "ZZ", 1, isin="US0000000045"), position("B", 2, "C", 1, isin="CASH")])
+    for batch in (first, second):
+        ledger.append_run(batch, folder, DAY[9])
+    ledger.staged_run(history(spark, [position("C", 3, "YY", 1, isin="US0000000052")]), folder, DAY[9])
+    found = ledger.read_ledger(spark, folder)
+    assert rows(resolve.crosswalk_of(found.keys)) == rows(resolve.crosswalk(found.rows))
+    assert scans(found.keys, "/keys") and not scans(found.keys, "/rows")
+    asked = history(spark, [position("D", 5, t, 1, name=None) for t in ("YY", "ZZ", "XX")])
+    lookup = resolve.isin_lookup(asked, state=found.keys)
+    assert rows(resolve.fill_isins(asked, lookup), "constituent_ticker", "isin") == [
+        ("XX", None), ("YY", "US0000000029"), ("ZZ", "US0000000045")]
+    ledger.rebuild_keys(spark, folder)
+    again = ledger.read_ledger(spark, folder).keys
+    assert rows(again) == rows(resolve.crosswalk_state(found.rows))

@@ -210,10 +210,10 @@ SELECT p_partkey, isin, needed, CASE WHEN needed THEN coalesce(forced, f, p, b,
     CAST(f IS NULL AND p IS NULL AND b IS NULL AND bk IS NOT NULL AS INT) +
     CAST(f IS NULL AND p IS NULL AND b IS NULL AND n IS NULL AND nk IS NOT NULL AS INT) END AS ambiguous
 FROM resolved"""
-_PARTS = {"keyed": _KEYS_SQL, "crosswalk": _CROSSWALK, "resolved": _RESOLVED, "answered": _ANSWERED}
+KEY_PARTS = {"keyed": _KEYS_SQL, "crosswalk": _CROSSWALK, "resolved": _RESOLVED, "answered": _ANSWERED}
 
 
-@query("isin_crosswalk", sql('SELECT "table", key, isin FROM crosswalk', **_PARTS))
+@query("isin_crosswalk", sql('SELECT "table", key, isin FROM crosswalk', **KEY_PARTS))
 def isin_crosswalk(spark, folder):
     return resolve.crosswalk(listed_securities(spark, folder))
 
@@ -225,7 +225,7 @@ def _resolved(spark, folder):
 
 
 @query("resolved_isins", sql(
-    "SELECT p_partkey, found_isin, method, ambiguous, needed FROM answered", **_PARTS))
+    "SELECT p_partkey, found_isin, method, ambiguous, needed FROM answered", **KEY_PARTS))
 def resolved_isins(spark, folder):
     return _resolved(spark, folder).select(
         "p_partkey", "found_isin", "method", F.coalesce("ambiguous", F.lit(0)).alias("ambiguous"),
@@ -233,7 +233,7 @@ def resolved_isins(spark, folder):
 
 
 @query("filled_isins", sql(
-    "SELECT p_partkey, coalesce(isin, found_isin) AS isin FROM answered", **_PARTS))
+    "SELECT p_partkey, coalesce(isin, found_isin) AS isin FROM answered", **KEY_PARTS))
 def filled_isins(spark, folder):
     rows = listed_securities(spark, folder)
     overrides = resolve.override_table(spark, OVERRIDES)
@@ -245,7 +245,7 @@ SELECT outcome, n_rows FROM (
   SELECT coalesce(method, 'unresolved') AS outcome, count(*) AS n_rows FROM answered WHERE needed
   GROUP BY 1 UNION ALL
   SELECT 'resolved', count(*) FROM answered WHERE method IS NOT NULL UNION ALL
-  SELECT 'ambiguous', CAST(sum(ambiguous) AS BIGINT) FROM answered)""", **_PARTS))
+  SELECT 'ambiguous', CAST(sum(ambiguous) AS BIGINT) FROM answered)""", **KEY_PARTS))
 def resolution_counts(spark, folder):
     return resolve.resolution_counts(_resolved(spark, folder))
 

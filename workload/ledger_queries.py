@@ -1,13 +1,19 @@
-"""Queries about stored histories: committed runs, the dates index, positions in buckets."""
+"""Queries about stored histories: committed runs, the dates index, positions in buckets, kept views."""
 
 import uuid
 from datetime import date
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdrift.plans import views
+from holdrift.operators import resolve
+from holdrift.plans import incremental_views, views
+from holdrift.plans.joins import settled
 from holdrift.sources import history, layout, ledger
-from workload.ingest_queries import BATCHES, STORE, STORED, scratch, store_case
+from workload.ingest_queries import (
+    BATCHES, KEY_PARTS, OVERRIDES, STORE, STORED, listed_securities, scratch, store_case,
+)
 from workload.registry import query
 from workload.sql import sql
 from workload.tables import CONFIG, as_doubles, holdings, universe
@@ -70,11 +76,33 @@ def repaired_dates(spark, folder):
     ledger.import_history(holdings(spark, folder), target)
     run = ledger.commits(spark, target).first().run
     broken = ledger.read_ledger(spark, target).dates.filter("source = 'manual'").withColumn("n_rows", F.col("n_rows") + 1)
-    history.settled(broken).write.mode("overwrite").parquet(f"{target}/dates/run={run}")
+    settled(broken).write.mode("overwrite").parquet(f"{target}/dates/run={run}")
     ledger.repair_dates(spark, target)
     return ledger.read_ledger(spark, target).dates
 
 
+@query("crosswalk_of_runs", sql('SELECT "table", key, isin FROM crosswalk', **KEY_PARTS))
+def crosswalk_of_runs(spark, folder):
+    """The crosswalk from the states of three parts of the rows, merged."""
+    rows = listed_securities(spark, folder)
+    states = [resolve.crosswalk_state(rows.filter(F.col("p_partkey") % 3 == k)) for k in range(3)]
+    return resolve.crosswalk_of(resolve.merged_states(reduce(DataFrame.unionByName, map(settled, states))))
+
+
+@query("filled_isins_by_kept_keys", sql(
+    "SELECT p_partkey, coalesce(isin, found_isin) AS isin FROM answered", **KEY_PARTS))
+def filled_isins_by_kept_keys(spark, folder):
+    """One half of the rows is filled with the kept state of the other half and its own rows; then the other."""
+    rows, even = listed_securities(spark, folder), F.col("p_partkey") % 2 == 0
+    overrides = resolve.override_table(spark, OVERRIDES)
+
+    def filled(own, other):
+        state = settled(resolve.crosswalk_state(other))
+        return resolve.fill_isins(own, resolve.isin_lookup(own, overrides, state)).select("p_partkey", "isin")
+
+    return filled(rows.filter(even), rows.filter(~even)).unionByName(filled(rows.filter(~even), rows.filter(even)))
+
+
 def _ledger(spark, folder):
     target = scratch(spark, "ledger")
     ledger.import_history(holdings(spark, folder), target)
@@ -116,3 +144,28 @@ def history_deltas_of_buckets(spark, folder):
 def daily_deltas_of_buckets(spark, folder):
     positions, dates = _positions(spark, folder)
     return layout.daily_deltas(positions, universe(spark, folder), dates)
+
+
+def _kept(spark, folder, pinned):
+    """A view kept from a history in which every tenth fund lacked its later dates, then brought up to date."""
+    rows, funds = holdings(spark, folder), universe(spark, folder)
+    late = (F.substring("etf_ticker", 2, 20).cast("long") % 10 == 3) & (F.col("as_of_date") >= F.lit(date(1997, 1, 1)))
+    before = rows.filter(~late)
+    view = incremental_views.kept_view(before, funds, ledger.dates_of(before), CONFIG, pinned=pinned)
+    update = incremental_views.updated(view, rows, funds, ledger.dates_of(rows), CONFIG, pinned=pinned)
+    return incremental_views.flow(update.view, funds, CONFIG)
+
+
+@query("kept_latest_signals", sql("SELECT * FROM deltas_scoped"))
+def kept_latest_signals(spark, folder):
+    return as_doubles(_kept(spark, folder, pinned=False).signals)
+
+
+@query("kept_latest_moves", sql("SELECT * EXCLUDE (pair_date) FROM deltas_moves"))
+def kept_latest_moves(spark, folder):
+    return as_doubles(_kept(spark, folder, pinned=False).moves)
+
+
+@query("kept_aligned_signals", sql("SELECT * FROM deltas_aligned_scoped"))
+def kept_aligned_signals(spark, folder):
+    return as_doubles(_kept(spark, folder, pinned=True).signals)
