@@ -1,5 +1,7 @@
 """Query of the quality rules over all documents."""
 
+from pyspark.sql import functions as F
+
 from holdrift.llm import quality_rules
 from holdrift.llm.registry import query
 from holdrift.llm.tables import table
@@ -38,13 +40,13 @@ counts AS (
          len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
          coalesce(lines.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
          length(t) AS n_chars, len(regexp_extract_all(t, '[A-Z]')) AS n_capital,
-         len(regexp_extract_all(t, '[0-9.,;:!?''"()\-]')) AS n_mark, strlen(t) - length(t) AS n_beyond,
+         len(regexp_extract_all(t, '[0-9.,;:!?''"()\-]')) AS n_mark, len(regexp_extract_all(t, '[^\x00-\x7F]')) AS n_beyond,
          list_transform(common, lambda c: len(list_filter(words, lambda w: w = c))) AS listed
   FROM texts LEFT JOIN covered USING (doc_id) LEFT JOIN lines USING (doc_id)),
 histograms AS (
   SELECT doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
          [n_capital, n_mark, n_symbols, n_chars - word_chars, n_beyond,
-          greatest(n_chars - n_capital - n_mark - n_symbols - (n_chars - word_chars) - n_beyond, 0)] AS classes,
+          n_chars - n_capital - n_mark - n_symbols - (n_chars - word_chars) - n_beyond] AS classes,
          list_append(listed, n_words - list_sum(listed)) AS common
   FROM counts),
 long AS (
@@ -52,26 +54,34 @@ long AS (
   UNION ALL
   SELECT doc_id, lang, 'w', unnest(common), generate_subscripts(common, 1) FROM histograms),
 shares AS (
-  SELECT doc_id, lang, kind, place, n / sum(n) OVER (PARTITION BY doc_id, kind) AS p FROM long),
+  SELECT doc_id, lang, kind, place, n / nullif(sum(n) OVER (PARTITION BY doc_id, kind), 0) AS p FROM long),
 sums AS (SELECT lang, kind, place, sum(n) AS n FROM long GROUP BY ALL),
-usual AS (SELECT lang, kind, place, n / sum(n) OVER (PARTITION BY lang, kind) AS q FROM sums),
+usual AS (SELECT lang, kind, place, n / nullif(sum(n) OVER (PARTITION BY lang, kind), 0) AS q FROM sums),
 distances AS (
-  SELECT shares.doc_id, shares.kind, sqrt(greatest(sum(
+  SELECT shares.doc_id, shares.kind, CASE WHEN count(p) > 0 AND count(q) > 0 THEN sqrt(greatest(sum(
     CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
-    + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS d
+    + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) END AS d
   FROM shares JOIN usual
   ON shares.lang IS NOT DISTINCT FROM usual.lang AND shares.kind = usual.kind AND shares.place = usual.place
   GROUP BY shares.doc_id, shares.kind),
+without AS (
+  SELECT lang, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS d
+  FROM (SELECT lang, q, CASE WHEN place = max(place) OVER (PARTITION BY lang) THEN 1.0 ELSE 0.0 END AS p
+        FROM usual WHERE kind = 'w' AND q IS NOT NULL) GROUP BY lang),
 judged AS (
-  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  SELECT h.*, c.d AS class_distance, w.d AS word_distance,
          n_words < {RULES.min_words} OR 100 * n_repeat_words > {RULES.repeat_percent} * n_words AS base_failed,
-         n_words >= {RULES.min_words_for_distance} AND (
-           coalesce((SELECT d FROM distances x WHERE x.doc_id = h.doc_id AND kind = 'c'), 0) > {RULES.class_distance}
-           OR coalesce((SELECT d FROM distances x WHERE x.doc_id = h.doc_id AND kind = 'w'), 0)
-              > {RULES.word_distance}) AS far
-  FROM histograms h)
+         (n_words >= {RULES.min_words_for_distance} AND coalesce(c.d, 0) > {RULES.class_distance})
+         OR (n_words >= {RULES.min_words_for_word_distance}
+             AND coalesce(w.d > {RULES.word_distance} * without.d, FALSE)) AS far
+  FROM histograms h
+  LEFT JOIN distances c ON c.doc_id = h.doc_id AND c.kind = 'c'
+  LEFT JOIN distances w ON w.doc_id = h.doc_id AND w.kind = 'w'
+  LEFT JOIN without ON without.lang IS NOT DISTINCT FROM h.lang)
 SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       base_failed, NOT base_failed AND NOT far AS kept
+       base_failed, round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance,
+       NOT base_failed AND NOT far AS kept
 FROM judged
 """
 
@@ -80,4 +90,5 @@ FROM judged
 def op7_quality_rules(spark, folder):
     return quality_rules.judged(table(spark, folder, "documents"), RULES).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept")
+        "base_failed", F.round("class_distance", 6).alias("class_distance"),
+        F.round("word_distance", 6).alias("word_distance"), "kept")

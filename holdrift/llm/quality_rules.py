@@ -43,8 +43,9 @@ class Rules:
     """Thresholds of the rules.
 
     ``common_words``: the words of a language that form its word histogram, beside all others.
-    ``class_distance`` and ``word_distance``: Jensen-Shannon distances (0 to 1) above which a
-    document is rejected; they count only from ``min_words_for_distance`` words on, since short
+    ``class_distance``: the Jensen-Shannon distance (0 to 1) of characters above which a document is
+    rejected. ``word_distance``: the same for words, as a share of the distance that a text without any
+    common word has from its language. Both count only from a number of words on, since short
     texts diverge by chance. A language without common words is judged by characters only.
     """
 
@@ -54,7 +55,8 @@ class Rules:
     common_words: dict = field(default_factory=lambda: COMMON_WORDS)
     min_words_for_distance: int = 50
     class_distance: float = 0.30
-    word_distance: float = 0.45
+    min_words_for_word_distance: int = 100
+    word_distance: float = 0.87
 
 
 def _shorter_by(text: Column, pattern: str) -> Column:
@@ -150,10 +152,10 @@ def counts(documents: DataFrame, rules: Rules = Rules()) -> DataFrame:
         _repeated_words(F.col("windows"), rules.window).cast("long").alias("n_repeat_words"),
         _shorter_by(F.col("text"), "[A-Z]+").cast("long").alias("n_capital"),
         _shorter_by(F.col("text"), MARKS).cast("long").alias("n_mark"),
-        (F.octet_length("text") - F.char_length("text")).cast("long").alias("n_beyond_ascii"))
+        _shorter_by(F.col("text"), r"[^\x00-\x7F]+").cast("long").alias("n_beyond_ascii"))
     white = F.col("n_chars") - F.col("word_chars")
     classes = [F.col("n_capital"), F.col("n_mark"), F.col("n_symbols"), white, F.col("n_beyond_ascii")]
-    rest = F.greatest(F.col("n_chars") - sum(classes, F.lit(0)), F.lit(0))
+    rest = F.col("n_chars") - sum(classes, F.lit(0))
     others = F.col("n_words") - F.aggregate("common_counts", F.lit(0).cast("long"), lambda a, x: a + x)
     failed = (F.col("n_words") < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.repeat_percent * F.col("n_words"))
@@ -175,18 +177,22 @@ def language_references(counted: DataFrame, rules: Rules = Rules()) -> DataFrame
 
 
 def jensen_shannon(p: Column, q: Column) -> Column:
-    """The square root of the divergence in bits of two arrays of shares; 0 equal, 1 disjoint."""
+    """The square root of the divergence in bits of two arrays of shares; 0 equal, 1 disjoint.
+
+    Null if one of them is null.
+    """
     def part(x, y):
         middle = (x + y) / 2
         return (F.when(x > 0, x * F.log2(x / middle)).otherwise(0.0)
                 + F.when(y > 0, y * F.log2(y / middle)).otherwise(0.0))
     total = F.aggregate(F.zip_with(p, q, part), F.lit(0.0), lambda a, x: a + x)
-    return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
+    return F.when(total.isNotNull(), F.sqrt(F.greatest(total / 2, F.lit(0.0))))
 
 
 def _shares(counts: Column) -> Column:
+    """Shares of the total; null without any count."""
     total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
-    return F.transform(counts, lambda c: F.coalesce(F.try_divide(c.cast("double"), total), F.lit(0.0)))
+    return F.when(total > 0, F.transform(counts, lambda c: c.cast("double") / total))
 
 
 def judged(documents: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -197,14 +203,19 @@ def judged(documents: DataFrame, rules: Rules = Rules()) -> DataFrame:
     counted = stored(counts(documents, rules))
     known = small_side(stored(language_references(counted, rules)))
     found = counted.join(known, counted["lang"].eqNullSafe(known["lang"]), "left").drop(known["lang"])
+    usual = F.slice(F.col("word_shares"), F.lit(1), F.size("word_counts"))
+    others = F.size("word_counts") - 1
+    without = F.transform("word_counts", lambda _, i: F.when(i == others, 1.0).otherwise(0.0))
     found = found.select(
         "*",
         jensen_shannon(_shares(F.col("class_counts")), F.col("class_shares")).alias("class_distance"),
-        jensen_shannon(_shares(F.col("word_counts")), F.slice(
-            F.col("word_shares"), F.lit(1), F.size("word_counts"))).alias("word_distance"))
-    far = (F.col("n_words") >= rules.min_words_for_distance) & (
-        (F.coalesce("class_distance", F.lit(0.0)) > rules.class_distance)
-        | (F.coalesce("word_distance", F.lit(0.0)) > rules.word_distance))
+        jensen_shannon(_shares(F.col("word_counts")), usual).alias("word_distance"),
+        jensen_shannon(without, usual).alias("distance_without"))
+    far_classes = (F.col("n_words") >= rules.min_words_for_distance) & (
+        F.coalesce("class_distance", F.lit(0.0)) > rules.class_distance)
+    far_words = (F.col("n_words") >= rules.min_words_for_word_distance) & F.coalesce(
+        F.col("word_distance") > rules.word_distance * F.col("distance_without"), F.lit(False))
+    far = far_classes | far_words
     return found.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "class_distance", "word_distance",

@@ -57,6 +57,36 @@ def test_null_and_unknown_languages(spark):
     assert quality_rules.judged(documents(spark, rows).limit(0)).count() == 0
 
 
+def test_characters_beyond_ascii_count_once(spark):
+    found = quality_rules.counts(documents(spark, [(1, "é漢😀 Ab1! # x")])).first()
+    assert found["class_counts"] == [1, 2, 1, 3, 3, 2] and sum(found["class_counts"]) == len("é漢😀 Ab1! # x")
+
+
+def test_no_words_and_no_distance(spark):
+    rows = [(1, " \n "), (2, "the tree of words " * 30)]
+    found = {r["doc_id"]: r for r in quality_rules.judged(documents(spark, rows)).collect()}
+    assert found[1]["class_distance"] is not None and found[1]["word_distance"] is None
+    found = {r["doc_id"]: r for r in quality_rules.judged(documents(spark, [(1, ""), (2, None)])).collect()}
+    assert all(r["class_distance"] is None and r["word_distance"] is None for r in found.values())
+
+
+def test_texts_without_common_words_are_rejected(spark):
+    """Real proportions: a fifth of the words are common ones; menus and lists of names hold none."""
+    rng = random.Random(5)
+    common = quality_rules.COMMON_WORDS["en"]
+    rare = [f"{a}{b}{c}" for a in "bdfgl" for b in "aeiou" for c in "nrstk"]
+
+    def text(n, share):
+        return " ".join(rng.choice(common) if rng.random() < share else rng.choice(rare) for _ in range(n))
+
+    rows = [(k, text(150, 0.2)) for k in range(60)]
+    rows += [(100 + k, text(150, 0.0)) for k in range(5)] + [(200, text(60, 0.0))]
+    found = {r["doc_id"]: r for r in quality_rules.judged(documents(spark, rows)).collect()}
+    assert all(found[k]["kept"] for k in range(60)) and not any(found[100 + k]["kept"] for k in range(5))
+    assert found[200]["kept"]  # too short for the word rule
+    assert all(found[100 + k]["class_distance"] < 0.3 for k in range(5))
+
+
 def test_no_python_in_the_plan(spark):
     plan = quality_rules.counts(documents(spark, EDGES))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
