@@ -25,7 +25,7 @@ from holdrift.functions.text import (
 )
 from holdrift.plans.joins import local_table
 from holdrift.sources import delimited
-from holdrift.sources.markup import element_text, elements, page_text
+from holdrift.sources.markup import element_text, elements, page_text, rows_of_cells
 
 _KEYS = ["path", "etf_ticker", "layout"]
 
@@ -264,12 +264,12 @@ def read_sheets(docs: DataFrame) -> DataFrame:
 # --- web pages ----------------------------------------------------------------------
 
 def page_tables(page) -> Column:
-    """Tables of a page as structs of header texts and rows of cell texts."""
-    return F.transform(elements(page, "table"), lambda table: F.struct(
-        F.transform(elements(table, "th"), element_text).alias("header"),
-        F.transform(elements(table, "tr"), lambda row: F.transform(
-            elements(row, "td"), element_text)).alias("rows"),
-    ))
+    """Tables of a page as structs of header texts and the cell texts of rows with as many cells."""
+    def table(markup):
+        return bound(F.transform(elements(markup, "th"), element_text), lambda header: F.struct(
+            header.alias("header"), rows_of_cells(markup, F.size(header)).alias("rows")))
+
+    return F.transform(elements(page, "table"), table)
 
 
 def read_pages(docs: DataFrame) -> DataFrame:
