@@ -12,8 +12,8 @@ group of postings, of a term or of an item, meets in one task.
 Words are runs of ASCII letters (A-Z lower-cased), digits and characters beyond ASCII.
 
 Defined results: a null or empty text has no words, an item without words has no phrases.
-A null id is an id like others. The hits reported for a doc_id are the union of those of its rows;
-each row comes back with its own number of words. Repeated items and phrases count once. Empty tables give no hits. Only id and text columns are read.
+Ids are only passed on: rows with a repeated or null doc_id come back one by one, each with
+its own words, hits and items. Repeated items and phrases count once. Empty tables give no hits. Only id and text columns are read.
 """
 
 from dataclasses import dataclass
@@ -155,38 +155,32 @@ def proximity_matches(index: DataFrame, phrases: Phrases, distance: int) -> Data
 
 
 def words_hit(matches: DataFrame) -> DataFrame:
-    """(doc_id, n_hit): how many words of a document lie inside some match."""
-    spans = matches.select("doc_id", "start", (F.col("start") + F.col("n_terms")).alias("end")).distinct()
-    before = Window.partitionBy("doc_id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    """(row, n_hit): how many words of a document row lie inside some match."""
+    spans = matches.select("row", "start", (F.col("start") + F.col("n_terms")).alias("end")).distinct()
+    before = Window.partitionBy("row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     reached = F.coalesce(F.max("end").over(before), F.lit(0))
-    new = spans.select("doc_id", F.greatest(F.col("end") - F.greatest("start", reached), F.lit(0)).alias("new"))
-    return new.groupBy("doc_id").agg(F.sum("new").cast("long").alias("n_hit"))
+    new = spans.select("row", F.greatest(F.col("end") - F.greatest("start", reached), F.lit(0)).alias("new"))
+    return new.groupBy("row").agg(F.sum("new").cast("long").alias("n_hit"))
 
 
 def decontaminated(documents: DataFrame, items: DataFrame, length: int = 10) -> DataFrame:
-    """doc_id, n_words, n_hit, item_ids (sorted strings) and contaminated of every document row."""
+    """doc_id, n_words, n_hit, item_ids (sorted strings) and contaminated of every document row.
+
+    Hits are kept by row to the end, so no row answers for another of its id.
+    """
     phrases = phrases_of(items, length)
     index = build_index(documents, phrases.vocabulary)
     matches = stored(phrase_matches(index, phrases))
-    hit = words_hit(matches)
-    items_hit = matches.select("doc_id", "phrase").distinct().join(phrases.items, "phrase").select(
-        "doc_id", F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id")).distinct()
-    listed = items_hit.groupBy("doc_id").agg(F.sort_array(F.collect_list("item_id")).alias("item_ids"))
-    heads = index.where(F.col("term") == HEAD).select("doc_id", F.col("place").cast("long").alias("n_words"))
-    found = hit.join(listed, hit["doc_id"].eqNullSafe(listed["doc_id"])).drop(listed["doc_id"])
-    return heads.join(found, heads["doc_id"].eqNullSafe(found["doc_id"]), "left").select(
-        heads["doc_id"], "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+    items_hit = matches.select("row", "phrase").distinct().join(phrases.items, "phrase").select(
+        "row", F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id")).distinct()
+    listed = items_hit.groupBy("row").agg(F.sort_array(F.collect_list("item_id")).alias("item_ids"))
+    heads = index.where(F.col("term") == HEAD).select("row", "doc_id", F.col("place").cast("long").alias("n_words"))
+    return heads.join(words_hit(matches).join(listed, "row"), "row", "left").select(
+        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         F.col("n_hit").isNotNull().alias("contaminated"))
 
 
-def clean_rows(documents: DataFrame, items: DataFrame, length: int = 10) -> DataFrame:
-    """The rows of ``documents`` whose id has no hit, with all their columns."""
-    found = decontaminated(documents, items, length)
-    hit = small_side(stored(found.where("contaminated").select(F.col("doc_id").alias("hit_id")).distinct()))
-    return documents.join(hit, documents["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")
-
-
 def rows_of_clean_texts(documents: DataFrame, items: DataFrame, length: int = 10) -> DataFrame:
     """The rows of ``documents`` whose own text has no hit, with all their columns, whatever their ids."""
     key = F.unhex(F.sha2("text", 256))

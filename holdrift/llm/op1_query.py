@@ -7,8 +7,8 @@ from holdrift.llm.registry import query
 from holdrift.llm.tables import table
 
 SQL = r"""
-WITH d AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (
@@ -20,18 +20,18 @@ runs AS (
   FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
 lengths AS (SELECT DISTINCT n FROM runs),
 places AS (
-  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS run
-  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lengths WHERE len(w) >= n)),
-hits AS (SELECT doc_id, i, n, item_id FROM places JOIN runs USING (run, n)),
+  SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS run
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lengths WHERE len(w) >= n)),
+hits AS (SELECT r, i, n, item_id FROM places JOIN runs USING (run, n)),
 covered AS (
-  SELECT doc_id, count(DISTINCT p) AS n_hit
-  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+  SELECT r, count(DISTINCT p) AS n_hit
+  FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
 items AS (
-  SELECT doc_id, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS items_sha256
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id)
+  SELECT r, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS items_sha256
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
 
 

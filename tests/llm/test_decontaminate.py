@@ -82,9 +82,10 @@ def test_edges(spark):
     assert by_id[4]["n_hit"] == 1 and by_id[8]["item_ids"] == ["2"] and not by_id[1]["contaminated"]
     assert by_id[6]["n_words"] == 60000
     none = [r for r in found if r["doc_id"] is None]
-    assert [r["contaminated"] for r in none] == [True, True] and none[0]["item_ids"] == ["", "2"]
-    kept = decontaminate.clean_rows(documents(spark, EDGES), item_table(spark, items))
-    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3, 5, 6, 7]
+    assert sorted((r["n_words"], r["contaminated"], r["item_ids"]) for r in none) == [
+        (0, False, []), (2, True, ["", "2"])]
+    kept = decontaminate.rows_of_clean_texts(documents(spark, EDGES), item_table(spark, items))
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 3, 5, 6, 7]
     assert kept.columns == documents(spark, EDGES).columns
 
 
@@ -97,6 +98,10 @@ def test_rows_with_null_or_repeated_ids(spark):
     found = decontaminate.decontaminated(documents(spark, rows[:4]), items).collect()
     assert [r["n_hit"] for r in found] == [0, 0, 0, 0] and not any(r["contaminated"] for r in found)
     table = documents(spark, rows)
+    assert shown(decontaminate.decontaminated(table.where("doc_id IS NOT NULL"), items)) == sorted(
+        brute_force([r for r in rows if r[0] is not None], [(7, item)]))
+    found = decontaminate.decontaminated(table, items).collect()
+    assert sorted((r["n_words"], r["n_hit"]) for r in found if r["doc_id"] is None) == [(10, 0), (10, 0), (11, 10)]
     kept = decontaminate.rows_of_clean_texts(table, items)
     assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == sorted(
         (k or 0, t) for k, t in rows if item not in t)
