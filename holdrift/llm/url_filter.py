@@ -11,7 +11,8 @@ Defined results: a capture without a url or host matches nothing, one without a
 without list, pattern or time are ignored. Repeated events count once; of an addition and a
 removal at the same time the removal wins. Additions while an entry is active prolong it.
 Repeated captures are judged one by one; ids are only passed on. Empty lists block nothing.
-Extra columns of captures are kept; their names may be anything but those added.
+Extra columns of captures are kept, whatever their names; ``n_active``, ``decided_by`` and ``blocked`` of the
+captures themselves are replaced.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -72,9 +73,8 @@ def judged(captures: DataFrame, intervals: DataFrame) -> DataFrame:
     The captures meet the list by their distinct (key, time) pairs, so a hot host costs as many
     rows as it has times; the entries found come back to them as one small array per pair.
     """
-    keyed = captures.withColumn("_capture", F.monotonically_increasing_id())
-    keyed = stored(keyed)
-    pairs = keyed.select("_capture", "fetched", F.explode(keys_of(F.col("url"))).alias("key"))
+    keyed = stored(captures.select(F.struct("*").alias("given"), F.monotonically_increasing_id().alias("capture")))
+    pairs = keyed.select("capture", "given.fetched", F.explode(keys_of(F.col("given.url"))).alias("key"))
     asked = pairs.select("key", "fetched").distinct()
     side = small_side(stored(intervals))
     active = asked.join(side, (F.col("key") == F.col("pattern")) & (F.col("since") <= F.col("fetched")) & (
@@ -84,9 +84,11 @@ def judged(captures: DataFrame, intervals: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.max(F.col("action") == ALLOW).alias("allows")))
     hits = pairs.join(small_side(found), ["key", "fetched"])
     strongest = F.struct(F.char_length("key").alias("size"), F.col("allows"), F.col("key"))
-    verdict = hits.groupBy("_capture").agg(
+    verdict = hits.groupBy("capture").agg(
         F.sum("n").alias("n_active"), F.max(strongest).alias("strongest"))
-    return keyed.join(verdict, "_capture", "left").select(
-        *captures.columns, F.coalesce("n_active", F.lit(0)).alias("n_active"),
+    kept = [F.col("given").getField(name).alias(name) for name in captures.columns
+            if name not in ("n_active", "decided_by", "blocked")]
+    return keyed.join(verdict, "capture", "left").select(
+        *kept, F.coalesce("n_active", F.lit(0)).alias("n_active"),
         F.col("strongest.key").alias("decided_by"),
         F.coalesce(~F.col("strongest.allows"), F.lit(False)).alias("blocked"))

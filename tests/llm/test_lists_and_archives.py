@@ -39,10 +39,12 @@ def test_entries_active_when_fetched(spark):
          ("http://b.org/en/1", 16), ("http://b.org/en/1", 12), ("http://a.b.org", 50), ("http://cb.org", 12),
          (None, 12), ("http://b.org/de", None), ("http://b.org/de", 10)])]
     df = spark.createDataFrame([(k, u, day(n)) for k, u, n in captures], "id long, url string, fetched date")
-    df = df.withColumn("key", F.lit(1)).withColumn("pattern", F.lit("c"))
+    df = df.withColumns({name: F.lit(1) for name in (
+        "key", "pattern", "strongest", "capture", "given", "_capture", "n", "allows", "n_active", "blocked")})
     found = {r["id"]: r for r in url_filter.judged(df, url_filter.validity_intervals(table(spark, events))).collect()}
     assert [found[k]["blocked"] for k in range(11)] == [
         False, True, False, True, False, True, True, False, False, False, True]
+    assert found[4]["strongest"] == 1 and found[4]["given"] == 1 and len(found[4]) == 14
     assert found[4]["decided_by"] == "b.org/en" and found[4]["n_active"] == 2 and found[0]["decided_by"] is None
     nothing = url_filter.judged(df, url_filter.validity_intervals(table(spark, events).limit(0)))
     assert nothing.where("blocked").count() == 0 and nothing.count() == 11
