@@ -16,7 +16,8 @@ A document is kept if some known language reaches ``least_confidence``.
 
 Defined results: a text without trigrams (null, empty, very short) has no evidence of its own; it is ``und``,
 with confidence 0, and not kept. A null declaration or host is no evidence. Hosts without dots have no
-suffix. Repeated rows are judged one by one, and a null id is only passed on. Without any declared
+suffix. Repeated rows are judged one by one, and a null id is only passed on. A blank declaration or host is
+none. Every declared language is modelled, however many there are and however rarely it is declared. Without any declared
 language every document is ``und``. An empty table gives an empty result. Extra columns
 are kept by ``identified`` and otherwise ignored.
 """
@@ -29,19 +30,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from holdrift.llm.memory import frugal
 from holdrift.llm.tables import small_side, stored
 
 BUCKETS = 1 << 15
 UNKNOWN = "und"
+LANGUAGES_AT_ONCE = 128  # whose likelihoods are looked up in one pass: 32 MB of logarithms
+_COUNTED_LANGUAGES = 64  # that a task counts before it hands its counts on
 
 
 @dataclass(frozen=True)
 class Fusion:
-    """``max_languages``: the most often declared languages that are modelled. ``host_weight``: how many
-    documents the prior of the next higher level counts for."""
+    """``host_weight``: how many documents the prior of the next higher level counts for."""
 
-    max_languages: int = 64
-    least_documents: int = 5
     smoothing: float = 0.5
     tempering: float = 0.1
     host_weight: float = 20.0
@@ -52,7 +53,18 @@ class Fusion:
 @dataclass(frozen=True)
 class Model:
     languages: tuple  # their names, ``und`` last
-    likelihoods: np.ndarray  # log p(bucket | language), a row per bucket
+    counts: DataFrame  # language, bucket, n: a stored table
+    smoothing: float
+
+    def likelihoods(self, languages: tuple) -> np.ndarray:
+        """log p(bucket | language) of some languages, a row per bucket."""
+        place = {name: k for k, name in enumerate(languages)}
+        table = self.counts.where(F.col("language").isin(list(languages))).toArrow()
+        counts = np.zeros((BUCKETS, len(languages)))
+        columns = [place[name] for name in table.column("language").to_pylist()]
+        counts[table.column("bucket").to_numpy(), columns] = table.column("n").to_numpy()
+        counts += self.smoothing
+        return np.log(counts / counts.sum(axis=0))
 
 
 def buckets_of(text) -> np.ndarray:
@@ -65,43 +77,63 @@ def buckets_of(text) -> np.ndarray:
 
 
 def fitted(evidence: DataFrame, fusion: Fusion = Fusion()) -> Model:
-    """Trigram models of the declared languages, from all rows of ``evidence`` (text, declared)."""
-    rows = evidence.where("declared IS NOT NULL").groupBy("declared").agg(F.count("*").alias("n")).where(
-        F.col("n") >= fusion.least_documents).orderBy(F.desc("n"), "declared").limit(fusion.max_languages)
-    names = sorted(row["declared"] for row in rows.collect())
-    number = {name: k for k, name in enumerate(names)}
+    """Trigram models of all declared languages, from all rows of ``evidence`` (text, declared).
+
+    The counts stay a table; the driver learns the names of the languages only.
+    """
+    def handed_on(found):
+        for language, counts in found.items():
+            held = np.flatnonzero(counts)
+            yield pa.record_batch([pa.array([language] * len(held), pa.string()), pa.array(held),
+                                   pa.array(counts[held])], names=["language", "bucket", "n"])
 
     def count(batches):
         found = {}
         for batch in batches:
             for text, declared in zip(batch.column(0), batch.column(1).to_pylist()):
-                if declared in number:
-                    counts = found.setdefault(number[declared], np.zeros(BUCKETS, np.int64))
-                    counts += np.bincount(buckets_of(text.as_py()), minlength=BUCKETS)
-        for language, counts in found.items():
-            held = np.flatnonzero(counts)
-            yield pa.record_batch([pa.array(np.full(len(held), language)), pa.array(held), pa.array(counts[held])],
-                                  names=["language", "bucket", "n"])
+                if declared not in found and len(found) >= _COUNTED_LANGUAGES:
+                    yield from handed_on(found)
+                    found = {}
+                counts = found.setdefault(declared, np.zeros(BUCKETS, np.int64))
+                counts += np.bincount(buckets_of(text.as_py()), minlength=BUCKETS)
+        yield from handed_on(found)
 
-    counted = evidence.select("text", "declared").mapInArrow(count, "language long, bucket long, n long")
-    # At most max_languages * BUCKETS rows.
-    table = counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros((BUCKETS, len(names) + 1))
-    counts[table.column("bucket").to_numpy(), table.column("language").to_numpy()] = table.column("n").to_numpy()
-    counts += fusion.smoothing
-    return Model((*names, UNKNOWN), np.log(counts / counts.sum(axis=0)))
+    declaring = evidence.select("text", given("declared").alias("declared")).where("declared IS NOT NULL")
+    names = sorted(row[0] for row in declaring.select("declared").distinct().collect())
+    counted = declaring.mapInArrow(frugal(count), "language string, bucket long, n long")
+    counts = stored(counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")))
+    # A language called ``und`` is text of no known language.
+    return Model((*[name for name in names if name != UNKNOWN], UNKNOWN),
+                 counts.where(F.col("language") != UNKNOWN), fusion.smoothing)
 
 
-def likelihoods(text: Column, model: Model, spark) -> Column:
-    """log p(text | language) in the order of the model; null for a text without trigrams."""
-    shared = spark.sparkContext.broadcast(model.likelihoods)
+def given(name: str) -> Column:
+    """A column of names, null where blank."""
+    return F.when(F.trim(F.col(name)) != "", F.col(name))
 
-    @F.pandas_udf("array<double>")
-    def likelihood(texts: pd.Series) -> pd.Series:
-        found = (buckets_of(text) for text in texts)
-        return pd.Series([shared.value[b].sum(axis=0) if len(b) else None for b in found], dtype="object")
 
-    return likelihood(text)
+def with_likelihoods(rows: DataFrame, model: Model) -> DataFrame:
+    """Adds ``likelihood``, log p(text | language) in the order of the model, to rows with a text; null
+    without trigrams.
+
+    More than ``LANGUAGES_AT_ONCE`` languages are looked up in several passes, each with its part of the model.
+    """
+    def looked_up(part):
+        @F.pandas_udf("array<double>")
+        def likelihood(texts: pd.Series) -> pd.Series:
+            found = (buckets_of(text) for text in texts)
+            return pd.Series([part.value[b].sum(axis=0) if len(b) else None for b in found], dtype="object")
+
+        return likelihood(F.col("text"))
+
+    context = rows.sparkSession.sparkContext
+    rows = rows.withColumn("likelihood", F.array().cast("array<double>"))
+    for start in range(0, len(model.languages), LANGUAGES_AT_ONCE):
+        if start:
+            rows = stored(rows)
+        part = context.broadcast(model.likelihoods(model.languages[start:start + LANGUAGES_AT_ONCE]))
+        rows = rows.withColumn("likelihood", F.concat("likelihood", looked_up(part)))
+    return rows
 
 
 def host_levels(host: Column) -> tuple:
@@ -117,10 +149,15 @@ def _best(scores: Column) -> Column:
     return F.array_position(scores, F.array_max(scores)).cast("int")
 
 
-def _added(size: int) -> Column:
-    """Sums of ``n`` per best language, as an array; for groups of (..., best, n)."""
-    return F.array(*[F.coalesce(F.sum(F.when(F.col("best") == k + 1, F.col("n"))), F.lit(0)).cast("double")
-                     for k in range(size)])
+def _added(counts: DataFrame, size: int, *level: str) -> DataFrame:
+    """Sums of ``n`` per best language, as the array ``counts``, for each group of ``level``.
+
+    A group has a row per language at most before its array is made.
+    """
+    held = counts.groupBy(*level, "best").agg(F.sum("n").cast("double").alias("n")).groupBy(*level).agg(
+        F.map_from_entries(F.collect_list(F.struct("best", "n"))).alias("held"))
+    return held.select(*level, F.transform(
+        F.sequence(F.lit(1), F.lit(size)), lambda k: F.coalesce(F.try_element_at("held", k), F.lit(0.0))).alias("counts"))
 
 
 def evidence_counts(scored: DataFrame, model: Model) -> dict:
@@ -135,11 +172,11 @@ def evidence_counts(scored: DataFrame, model: Model) -> dict:
         _best(F.col("likelihood")).alias("best"))
     per_host = stored(judged.groupBy("host", "domain", "suffix", "best").agg(F.count("*").alias("n")))
     per_declared = judged.groupBy("declared", "best").agg(F.count("*").alias("n"))
-    found = {level: stored(per_host.where(F.col(level).isNotNull()).groupBy(level).agg(
-        _added(size).alias(f"{level}_counts"))) for level in ("host", "domain", "suffix")}
-    found["declared"] = stored(per_declared.where("declared IS NOT NULL").groupBy("declared").agg(
-        _added(size).alias("declared_counts")))
-    found["all"] = per_host.agg(_added(size).alias("counts")).first()["counts"]
+    found = {level: stored(_added(per_host.where(F.col(level).isNotNull()), size, level).withColumnRenamed(
+        "counts", f"{level}_counts")) for level in ("host", "domain", "suffix")}
+    found["declared"] = stored(_added(per_declared.where("declared IS NOT NULL"), size, "declared").withColumnRenamed(
+        "counts", "declared_counts"))
+    found["all"] = _added(per_host, size).first()["counts"]
     found["declarations"] = found["declared"].count()
     return found
 
@@ -201,19 +238,17 @@ def judged(evidence: DataFrame, fusion: Fusion = Fusion()) -> DataFrame:
 
     ``evidence`` has text, declared and host; its texts are read once for the models and once to be scored.
     """
+    evidence = evidence.withColumns({"declared": given("declared"), "host": given("host")})
     model = fitted(evidence, fusion)
-    scored = stored(evidence.withColumn(
-        "likelihood", likelihoods(F.col("text"), model, evidence.sparkSession)).drop("text"))
+    scored = stored(with_likelihoods(evidence, model).drop("text"))
     return fused(scored, model, evidence_counts(scored, model), fusion).drop("likelihood")
 
 
 def identified(documents: DataFrame, fusion: Fusion = Fusion()) -> DataFrame:
     """The kept rows of ``documents`` with all their columns: lang is declared, source is the host."""
-    evidence = documents.select("text", F.col("lang").alias("declared"), F.col("source").alias("host"))
-    model = fitted(evidence, fusion)
-    likelihood = likelihoods(F.col("text"), model, documents.sparkSession)
-    counts = evidence_counts(stored(evidence.select("declared", "host", likelihood.alias("likelihood"))), model)
-    rows = documents.select(
-        F.struct("*").alias("row"), F.col("lang").alias("declared"), F.col("source").alias("host"),
-        likelihood.alias("likelihood"))
-    return fused(rows, model, counts, fusion).where("kept").select("row.*")
+    rows = documents.select(F.struct("*").alias("row"), "text", given("lang").alias("declared"),
+                            given("source").alias("host"))
+    model = fitted(rows.select("text", "declared"), fusion)
+    evidence = stored(with_likelihoods(rows.drop("row"), model).drop("text"))
+    rows = with_likelihoods(rows, model).drop("text")
+    return fused(rows, model, evidence_counts(evidence, model), fusion).where("kept").select("row.*")

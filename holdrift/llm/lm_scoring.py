@@ -1,21 +1,19 @@
 """Cross-entropy difference of matched n-gram models.
 
-A target model (chosen documents) and a background model (all documents) share one vocabulary, one
-set of word classes and one smoothing, so that their losses differ by the text alone. The score of
+A target model (chosen documents) and a background model (all documents) share one vocabulary and one
+smoothing, so that their losses differ by the text alone. The score of
 a document is its mean loss per word under the target less that under the background: the lower,
 the more the document resembles the target.
 
 Both are word bigram models over all words and all word pairs of all documents, without a bound:
 p(word | previous) is the share of the pair among the pairs of the previous word, smoothed towards
-the frequency of the word. The counts never reach the driver. Documents are held in blocks. A block counts its
+the frequency of the word. What a document has itself is taken out of all counts before it is scored, so that
+a document of the target is judged like one that is not; only the vocabulary keeps its words.
+
+The counts never reach the driver. Documents are held in blocks. A block counts its
 words and pairs by key; the counts of blocks are added up in even ranges of the keys, as many as the input needs; and what
 the other blocks have of its keys goes back to the block, which then scores its documents.
 
-With a ``Shape`` the models are class bigram models of bounded size instead: the most frequent words are
-classes of their own, all other words share one class, within which a word has its share of the class, and words
-outside the vocabulary count together as one word. With as many words and classes as there are
-distinct words both forms are the same.
-
 Words are runs other than space and 0x09-0x0D, A-Z lower-cased; words and pairs are held by 64-bit hashes.
 
 Defined results: a text without words (null, empty, white) has no loss and no score (null). Without
@@ -34,44 +32,13 @@ from pyspark.sql import functions as F
 from holdrift.llm.shingles import WordHashes, pair_hashes, word_hashes
 from holdrift.llm.tables import small_side, stored
 
-_BLOCK_WORDS = 2_000_000
+SMOOTHING = 100.0  # how many words the word frequencies count for after each word
 _SCORED_WORDS = 1_000_000  # of a block that is scored at once
 _SCORED_TEXTS = 200_000
 _RANGE_KEYS = 1_000_000  # of all blocks that are added up at once
 _START, _WORD, _AFTER = (np.uint64(k) for k in (1, 2, 3))  # stand before a word like the hash of a word
 
 
-@dataclass(frozen=True)
-class Shape:
-    """``words``: size of the vocabulary. ``classes``: how many words are classes of their own.
-    ``smoothing``: how many words the class frequencies count for after each class."""
-
-    words: int = 1 << 16
-    classes: int = 1023
-    smoothing: float = 100.0
-
-
-@dataclass(frozen=True)
-class Vocabulary:
-    """Hashes in rising order, the class of each word (0: the shared one), and its counts."""
-
-    hashes: np.ndarray
-    classes: np.ndarray
-    counts: np.ndarray  # a row each for target and background
-    unknown: np.ndarray  # words outside, for target and background
-    n_classes: int
-
-    def places(self, hashes: np.ndarray) -> np.ndarray:
-        """Place of each word in the vocabulary; its size for words outside."""
-        if not len(self.hashes):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, len(self.hashes))
-
-    def class_of(self, places: np.ndarray) -> np.ndarray:
-        return np.append(self.classes, 0)[places]
-
-
 def with_target(documents: DataFrame, chosen: DataFrame) -> DataFrame:
     """doc_id, text, and whether the id is among ``chosen`` (doc_id)."""
     ids = small_side(stored(chosen.where("doc_id IS NOT NULL").select("doc_id").distinct().withColumn(
@@ -80,135 +47,6 @@ def with_target(documents: DataFrame, chosen: DataFrame) -> DataFrame:
         "doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, n_target, n_background) over all texts; blocks of words are counted before the shuffle."""
-    def count(batches):
-        cache, parts, flags, size = WordHashes(), [], [], 0
-
-        def counted():
-            words, place = np.unique(np.concatenate(parts), return_inverse=True)
-            target = np.bincount(place, np.repeat(flags, [len(p) for p in parts]), len(words)).astype(np.int64)
-            background = np.bincount(place, minlength=len(words))
-            for k in range(0, len(words), 500_000):
-                part = slice(k, k + 500_000)
-                yield pa.record_batch([pa.array(words[part].view(np.int64)), pa.array(target[part]),
-                                       pa.array(background[part])], names=["word", "n_target", "n_background"])
-
-        for batch in batches:
-            for text, target in zip(batch.column(0), batch.column(1).to_pylist()):
-                parts.append(word_hashes(text.as_py(), cache))
-                flags.append(int(target))
-                size += len(parts[-1])
-                if size >= _BLOCK_WORDS:
-                    yield from counted()
-                    parts, flags, size = [], [], 0
-        if size:
-            yield from counted()
-
-    counted = texts.select("text", "target").mapInArrow(count, "word long, n_target long, n_background long")
-    return counted.groupBy("word").agg(F.sum("n_target").alias("n_target"),
-                                       F.sum("n_background").alias("n_background"))
-
-
-def vocabulary_of(texts: DataFrame, shape: Shape = Shape()) -> Vocabulary:
-    """The most frequent words of all texts, at most ``shape.words``; ties go by hash."""
-    counts = stored(word_counts(texts))
-    total = counts.agg(F.coalesce(F.sum("n_target"), F.lit(0)), F.coalesce(F.sum("n_background"), F.lit(0))).first()
-    rows = counts.orderBy(F.desc("n_background"), "word").limit(shape.words).toArrow()  # bounded by the shape
-    hashes = rows.column("word").to_numpy().view(np.uint64)
-    numbers = np.array([rows.column("n_target").to_numpy(), rows.column("n_background").to_numpy()], np.float64)
-    classes = np.where(np.arange(len(hashes)) < shape.classes, np.arange(len(hashes)) + 1, 0)
-    order = np.argsort(hashes)
-    return Vocabulary(hashes[order], classes[order], numbers[:, order],
-                      np.array(total, np.float64) - numbers.sum(axis=1), shape.classes + 1)
-
-
-def class_pairs(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(pair, n_target, n_background): class bigrams of all texts, from a start class on."""
-    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
-    n = vocabulary.n_classes
-
-    def count(batches):
-        vocabulary, cache = shared.value, WordHashes()
-        target, background = np.zeros((n + 1) * n, np.int64), np.zeros((n + 1) * n, np.int64)
-        for batch in batches:
-            for text, is_target in zip(batch.column(0), batch.column(1).to_pylist()):
-                classes = vocabulary.class_of(vocabulary.places(word_hashes(text.as_py(), cache)))
-                pairs = np.append(n, classes[:-1])[:len(classes)] * n + classes
-                np.add.at(background, pairs, 1)
-                if is_target:
-                    np.add.at(target, pairs, 1)
-        held = np.flatnonzero(background)
-        yield pa.record_batch([pa.array(held), pa.array(target[held]), pa.array(background[held])],
-                              names=["pair", "n_target", "n_background"])
-
-    counted = texts.select("text", "target").mapInArrow(count, "pair long, n_target long, n_background long")
-    return counted.groupBy("pair").agg(F.sum("n_target").alias("n_target"),
-                                       F.sum("n_background").alias("n_background"))
-
-
-@dataclass(frozen=True)
-class Models:
-    """Losses under target and background: of a class after a class, and of a word in its class."""
-
-    vocabulary: Vocabulary
-    class_losses: np.ndarray  # 2 x (classes + start) x classes
-    word_losses: np.ndarray  # 2 x (vocabulary + unknown)
-
-
-def models_of(texts: DataFrame, shape: Shape = Shape()) -> Models:
-    """Both models from all texts; what reaches the driver is bounded by the shape."""
-    vocabulary = vocabulary_of(texts, shape)
-    n = vocabulary.n_classes
-    table = class_pairs(texts, vocabulary).toArrow()  # at most (classes + start) * classes rows
-    pairs = np.zeros((2, (n + 1) * n))
-    place = table.column("pair").to_numpy()
-    pairs[0, place] = table.column("n_target").to_numpy()
-    pairs[1, place] = table.column("n_background").to_numpy()
-    pairs = pairs.reshape(2, n + 1, n)
-    frequency = pairs.sum(axis=1) + 1
-    frequency /= frequency.sum(axis=1, keepdims=True)
-    smoothed = pairs + shape.smoothing * frequency[:, None, :]
-    class_losses = -np.log(smoothed / smoothed.sum(axis=2, keepdims=True))
-
-    counts = np.concatenate([vocabulary.counts, vocabulary.unknown[:, None]], axis=1) + 1
-    shared = np.append(vocabulary.classes, 0) == 0
-    word_losses = np.zeros(counts.shape)
-    word_losses[:, shared] = -np.log(counts[:, shared] / counts[:, shared].sum(axis=1, keepdims=True))
-    return Models(vocabulary, class_losses.astype(np.float32), word_losses.astype(np.float32))
-
-
-def losses(hashes: np.ndarray, models: Models) -> np.ndarray:
-    """Losses of the words of one text, a row each for target and background."""
-    places = models.vocabulary.places(hashes)
-    classes = models.vocabulary.class_of(places)
-    before = np.append(models.vocabulary.n_classes, classes[:-1])[:len(classes)]
-    return (models.class_losses[:, before, classes] + models.word_losses[:, places]).astype(np.float64)
-
-
-def scored(texts: DataFrame, models: Models) -> DataFrame:
-    """doc_id, n_words, loss_target, loss_background and their difference per word."""
-    shared = texts.sparkSession.sparkContext.broadcast(models)
-
-    def score(batches):
-        models, cache = shared.value, WordHashes()
-        for batch in batches:
-            sizes, means = [], []
-            for text in batch.column(1):
-                hashes = word_hashes(text.as_py(), cache)
-                sizes.append(len(hashes))
-                means.append(losses(hashes, models).mean(axis=1).tolist() if len(hashes) else [None, None])
-            target = pa.array([m[0] for m in means], pa.float64())
-            background = pa.array([m[1] for m in means], pa.float64())
-            yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int64()), target, background],
-                                  names=["doc_id", "n_words", "loss_target", "loss_background"])
-
-    id_type = texts.schema["doc_id"].dataType.simpleString()
-    found = texts.select("doc_id", "text").mapInArrow(
-        score, f"doc_id {id_type}, n_words long, loss_target double, loss_background double")
-    return found.withColumn("difference", F.col("loss_target") - F.col("loss_background"))
-
-
 def packed(values: np.ndarray) -> bytes:
     """Numbers as compressed bytes, all first bytes first."""
     planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
@@ -295,6 +133,14 @@ def counted_block(row: dict) -> Counted:
     return Counted(keys, counts, sizes, n, first, second, pairs)
 
 
+def own_counts(owner: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """For each word, how often its document has what stands at its place."""
+    if not len(place):
+        return np.zeros(0)
+    _, at, n = np.unique(owner * (int(place.max()) + 1) + place, return_inverse=True, return_counts=True)
+    return n[at].astype(np.float64)
+
+
 def counts_elsewhere(blocks: DataFrame, n_ranges: int) -> DataFrame:
     """(block, range, n, n_target, n_background, n_distinct): what the other blocks have of each key of a block.
 
@@ -349,7 +195,7 @@ def scored_by_all_pairs(texts: DataFrame, smoothing: float) -> DataFrame:
     totals = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_target", "n_words", "n_distinct")]).first()
     elsewhere = counts_elsewhere(blocks, (totals[1] + 2 * totals[2]) // _RANGE_KEYS + 1)
     n_distinct = elsewhere.agg(F.coalesce(F.sum("n_distinct"), F.lit(0))).first()[0]
-    n_words = np.array(totals[:2], np.float64)[:, None]
+    n_words = np.array(totals[:2], np.float64)
 
     def score(block, known):
         row = block.to_pylist()[0]
@@ -359,8 +205,16 @@ def scored_by_all_pairs(texts: DataFrame, smoothing: float) -> DataFrame:
         for k, name in enumerate(("n_target", "n_background")):
             counts[k, order] += np.concatenate([unpacked(part[name], part["n"], np.int64) for part in parts])
         words, after, pairs = counts[:, :n], counts[:, n:2 * n + 1], counts[:, 2 * n + 1:]
-        frequency = (words[:, found.word] + 1) / (n_words + n_distinct + 1)
-        losses = -np.log((pairs + smoothing * frequency) / (after[:, found.before] + smoothing))[:, found.pairs]
+        owner = np.repeat(np.arange(len(found.sizes)), found.sizes)
+        before, word = found.before[found.pairs], found.word[found.pairs]
+        own_word, own_after, own_pair = (own_counts(owner, place) for place in (word, before, found.pairs))
+        own_words = found.sizes[owner].astype(np.float64)
+        losses = np.zeros((2, len(owner)))
+        for k, takes_part in enumerate((np.array(row["flags"], np.float64)[owner], 1.0)):
+            frequency = (words[k, word] - takes_part * own_word + 1) / (
+                n_words[k] - takes_part * own_words + n_distinct + 1)
+            losses[k] = -np.log((pairs[k, found.pairs] - takes_part * own_pair + smoothing * frequency) / (
+                after[k, before] - takes_part * own_after + smoothing))
         held = found.sizes > 0
         starts = (np.cumsum(found.sizes) - found.sizes)[held]
         means = np.zeros((2, len(held)))
@@ -378,12 +232,6 @@ def scored_by_all_pairs(texts: DataFrame, smoothing: float) -> DataFrame:
     return found.withColumn("difference", F.col("loss_target") - F.col("loss_background"))
 
 
-def cross_entropy_difference(documents: DataFrame, chosen: DataFrame, shape: Shape | None = None) -> DataFrame:
-    """Scores of all documents; the target model is trained on those with an id in ``chosen``.
-
-    The models hold all words and word pairs, unless a ``shape`` bounds them.
-    """
-    texts = with_target(documents, chosen)
-    if shape is None:
-        return scored_by_all_pairs(texts, Shape.smoothing)
-    return scored(documents, models_of(texts, shape))
+def cross_entropy_difference(documents: DataFrame, chosen: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
+    """Scores of all documents; the target model is trained on those with an id in ``chosen``."""
+    return scored_by_all_pairs(with_target(documents, chosen), smoothing)

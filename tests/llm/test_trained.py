@@ -26,6 +26,40 @@ def test_language_of_held_out_texts(spark):
     assert found.where("language = lang").count() >= 0.99 * found.count()
 
 
+def trigram_likelihoods(rows, text, languages):
+    """log p(text | language) from counted trigrams, without the code under test."""
+    def grams(text):
+        data = text.lower().encode()
+        return [(int.from_bytes(data[k:k + 3], "big") * 2654435761 % 2 ** 32) >> 17 for k in range(len(data) - 2)]
+
+    found = []
+    for language in languages:
+        counted = collections.Counter(g for r in rows if r[2] == language for g in grams(r[1]))
+        total = sum(counted.values()) + 0.5 * 2 ** 15
+        found.append(sum(math.log((counted[g] + 0.5) / total) for g in grams(text)))
+    return np.array(found)
+
+
+def test_all_languages_are_kept(spark, monkeypatch):
+    """A hundred languages, one of them of two documents, in several passes; a blank declaration is none."""
+    rng = random.Random(8)
+    texts, k = [], 0
+    for language in range(100):
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(8)]
+        for _ in range(2 if language == 7 else 4):
+            texts.append((k, " ".join(rng.choice(words) for _ in range(60)), f"l{language:02}", f"host{language}.org"))
+            k += 1
+    texts += [(900, texts[0][1], "", " "), (901, texts[0][1], " ", None)]
+    table = evidence(documents(spark, texts)).repartition(3)
+    found = {r["doc_id"]: r for r in language_id.judged(table).collect()}
+    assert all(found[k]["language"] == declared and found[k]["kept"] for k, _, declared, _ in texts[:-2])
+    assert found[900]["language"] == "l00" and found[900]["declared"] is None and found[901]["language"] == "l00"
+    monkeypatch.setattr(language_id, "LANGUAGES_AT_ONCE", 30)
+    again = {r["doc_id"]: r for r in language_id.judged(table).collect()}
+    assert all(again[k]["language"] == r["language"] and math.isclose(again[k]["confidence"], r["confidence"])
+               for k, r in found.items())
+
+
 def test_evidence_is_fused(spark):
     """The product of likelihood, trust and smoothed priors, computed by hand for every row."""
     rng = random.Random(3)
@@ -36,11 +70,11 @@ def test_evidence_is_fused(spark):
         rows.append((k, " ".join(rng.choice(words[lang]) for _ in range(12)), lang if k % 7 else "aa",
                      ["www.one.org", "two.one.org", "plain"][k % 3]))
     rows += [(100, "kala wrth", None, "www.one.org"), (101, "kala wrth", "bb", "new.one.org"), (102, "maro", "bb", None)]
-    fusion = language_id.Fusion(least_documents=2)
+    fusion = language_id.Fusion()
     table = evidence(documents(spark, rows))
     model = language_id.fitted(table, fusion)
     found = {r["doc_id"]: r for r in language_id.judged(table, fusion).collect()}
-    like = {r[0]: model.likelihoods[language_id.buckets_of(r[1])].sum(axis=0) for r in rows}
+    like = {r[0]: trigram_likelihoods(rows, r[1], model.languages) for r in rows}
     best = {k: int(np.argmax(v)) for k, v in like.items()}
     n = len(model.languages)
 
@@ -82,77 +116,42 @@ def test_language_edges(spark):
     assert {r["language"] for r in none} == {"und"}
 
 
-def by_hand(texts, chosen, shape):
-    """Losses from the definitions, with plain dictionaries."""
-    split = {k: (t or "").encode().lower().split() for k, t in texts}
-    background = collections.Counter(w for ws in split.values() for w in ws)
-    from holdrift.llm.shingles import WordHashes
-    h = {w: np.array([WordHashes()[w]], np.uint64).view(np.int64)[0] for w in background}
-    ranked = sorted(background, key=lambda w: (-background[w], h[w]))
-    vocabulary, own = ranked[:shape.words], ranked[:shape.classes]
-    cls = {w: own.index(w) + 1 for w in own}
-    n, found = shape.classes + 1, {}
-    for name, ids in (("target", chosen), ("background", set(split))):
-        counts, pairs = collections.Counter(), collections.Counter()
-        for k in ids:
-            before = n
-            for w in split[k]:
-                counts[w if w in vocabulary else None] += 1
-                pairs[before, cls.get(w, 0)] += 1
-                before = cls.get(w, 0)
-        freq = np.ones(n)
-        for (_, c), m in pairs.items():
-            freq[c] += m
-        freq /= freq.sum()
-        shared = [w for w in vocabulary if w not in cls] + [None]
-        total = sum(counts[w] + 1 for w in shared)
-        after = collections.Counter()
-        for (b, _), m in pairs.items():
-            after[b] += m
-        for k, ws in split.items():
-            loss, before = 0.0, n
-            for w in ws:
-                c = cls.get(w, 0)
-                loss -= math.log((pairs[before, c] + shape.smoothing * freq[c]) / (after[before] + shape.smoothing))
-                if c == 0:
-                    loss -= math.log((counts[w if w in vocabulary else None] + 1) / total)
-                before = c
+def by_hand(texts, chosen, smoothing):
+    """Losses from the definitions, with plain dictionaries; the scored text itself is left out of the counts."""
+    split = [(k, (t or "").encode().lower().split()) for k, t in texts]
+    distinct = len({w for _, ws in split for w in ws})
+    found = {}
+    for k, ws in split:
+        for name in ("target", "background"):
+            words, after, pairs = collections.Counter(), collections.Counter(), collections.Counter()
+            left_out = False
+            for other, theirs in split:
+                if name == "target" and other not in chosen:
+                    continue
+                if other == k and not left_out:
+                    left_out = True
+                    continue
+                words.update(theirs)
+                after.update([None, *theirs][:len(theirs)])
+                pairs.update(zip([None, *theirs], theirs))
+            total, loss = sum(words.values()) + distinct + 1, 0.0
+            for before, w in zip([None, *ws], ws):
+                loss -= math.log((pairs[before, w] + smoothing * (words[w] + 1) / total) / (after[before] + smoothing))
             found.setdefault(k, []).append(loss / len(ws) if ws else None)
     return found
 
 
-def test_losses_by_hand(spark):
-    rng = random.Random(4)
-    texts = [(k, " ".join(f"w{int(rng.expovariate(0.1))}" for _ in range(rng.randrange(0, 60)))) for k in range(30)]
-    texts += [(90, None), (91, ""), (92, "Only new WORDS")]
-    chosen = set(range(0, 30, 3))
-    shape = lm_scoring.Shape(words=25, classes=8, smoothing=5.0)
-    ids = spark.createDataFrame([(k,) for k in [*chosen, 3, 3]], "doc_id long")
-    found = lm_scoring.cross_entropy_difference(documents(spark, texts), ids, shape).collect()
-    wanted = by_hand(texts, chosen, shape)
-    assert len(found) == len(texts)
-    for r in found:
-        target, background = wanted[r["doc_id"]]
-        if target is None:
-            assert r["n_words"] == 0 and r["difference"] is None
-        else:
-            assert math.isclose(r["loss_target"], target, rel_tol=1e-5)
-            assert math.isclose(r["difference"], target - background, rel_tol=1e-4, abs_tol=1e-5)
-
-
-def test_losses_of_all_words_and_pairs(spark, monkeypatch):
-    """Without a shape, more words than the largest shape holds classes for are all modelled, in any blocks."""
+def test_losses_by_hand(spark, monkeypatch):
+    """All words and pairs are modelled, in any blocks, and a copy of a text counts when the text is scored."""
     monkeypatch.setattr(lm_scoring, "_SCORED_WORDS", 300)
     monkeypatch.setattr(lm_scoring, "_RANGE_KEYS", 500)
     rng = random.Random(6)
-    texts = [(k, " ".join(f"w{int(rng.expovariate(0.001))}" for _ in range(rng.randrange(0, 200)))) for k in range(60)]
-    texts += [(90, None), (91, ""), (92, "Only new WORDS"), (93, texts[3][1])]
-    chosen = set(range(0, 60, 3))
-    distinct = len({w for _, t in texts for w in (t or "").lower().split()})
-    assert distinct > lm_scoring.Shape().classes
-    ids = spark.createDataFrame([(k,) for k in chosen], "doc_id long")
-    found = lm_scoring.cross_entropy_difference(documents(spark, texts).repartition(3), ids).collect()
-    wanted = by_hand(texts, chosen, lm_scoring.Shape(words=distinct, classes=distinct))
+    texts = [(k, " ".join(f"w{int(rng.expovariate(0.01))}" for _ in range(rng.randrange(0, 90)))) for k in range(40)]
+    texts += [(90, None), (91, ""), (92, "Only new WORDS"), (93, texts[3][1]), (94, "again again again again")]
+    chosen = {*range(0, 40, 3), 94}
+    ids = spark.createDataFrame([(k,) for k in [*chosen, 3, 3]], "doc_id long")
+    found = lm_scoring.cross_entropy_difference(documents(spark, texts).repartition(3), ids, 5.0).collect()
+    wanted = by_hand(texts, chosen, 5.0)
     assert sorted(r["doc_id"] for r in found) == sorted(k for k, _ in texts)
     for r in found:
         target, background = wanted[r["doc_id"]]
@@ -161,6 +160,33 @@ def test_losses_of_all_words_and_pairs(spark, monkeypatch):
         else:
             assert math.isclose(r["loss_target"], target, rel_tol=1e-9)
             assert math.isclose(r["loss_background"], background, rel_tol=1e-9)
+            assert math.isclose(r["difference"], target - background, rel_tol=1e-6, abs_tol=1e-9)
+
+
+def test_held_out_documents_score_like_those_of_the_target(spark):
+    """The score tells the kind of a text, not whether the target holds it: halves of the good labels agree."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    good = sorted(r["doc_id"] for r in labels.where("quality = 1 AND toxic = 0").collect())
+    chosen = set(random.Random(2).sample(good, len(good) // 2))
+    ids = spark.createDataFrame([(k,) for k in chosen], "doc_id long")
+    score = {r["doc_id"]: r["difference"] for r in lm_scoring.cross_entropy_difference(docs, ids).collect()}
+    inside, outside = (np.array([score[k] for k in part if score.get(k) is not None]) for part in (
+        chosen, set(good) - chosen))
+    assert abs(np.median(inside) - np.median(outside)) < 0.25 * np.concatenate([inside, outside]).std()
+
+
+def test_texts_of_the_kind_of_the_target_score_lower(spark):
+    """Of two kinds of text in the background, held-out ones of the target's kind are nearer to it, without exception."""
+    rng = random.Random(12)
+    texts = [(k, " ".join(f"{'ab'[k % 2]}{int(rng.expovariate(0.05))}" if rng.random() < 0.7 else
+                          f"c{int(rng.expovariate(0.1))}" for _ in range(80))) for k in range(120)]
+    ids = spark.createDataFrame([(k,) for k in range(0, 120, 4)], "doc_id long")
+    score = {r["doc_id"]: r["difference"]
+             for r in lm_scoring.cross_entropy_difference(documents(spark, texts), ids, 20.0).collect()}
+    assert max(score[k] for k in range(0, 120, 2)) < min(score[k] for k in range(1, 120, 2))
+    inside, outside = (np.mean([score[k] for k in range(start, 120, 4)]) for start in (0, 2))
+    assert abs(inside - outside) < 0.1 * (np.mean([score[k] for k in range(1, 120, 2)]) - outside)
 
 
 def test_lm_edges(spark):
