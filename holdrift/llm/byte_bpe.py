@@ -24,8 +24,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from holdrift.llm.memory import frugal
+
 BLOCK_CHARS = 10_000_000
 ROWS_OUT = 1000
+BYTES_OUT = 64 << 20  # of decoded texts in one batch
 # Letters and numbers that were assigned after Unicode 16. The tiktoken library takes
 # them for neither; the regex library knows them already.
 LATER_LETTERS = (
@@ -217,7 +220,7 @@ def encoded(documents: DataFrame, rank_file: str, pattern: str) -> DataFrame:
             yield from block.batches(vocab, id_type)
 
     id_type = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(encode, f"doc_id {id_type}, token_ids array<int>")
+    return documents.select("doc_id", "text").mapInArrow(frugal(encode), f"doc_id {id_type}, token_ids array<int>")
 
 
 def decoded_bytes(values: np.ndarray, vocab: Vocabulary) -> tuple:
@@ -239,16 +242,23 @@ def decoded(tokens: DataFrame, rank_file: str) -> DataFrame:
                 part = batch.slice(k, ROWS_OUT)
                 lists = part.column(1).fill_null([])
                 values = lists.flatten().to_numpy(zero_copy_only=False)
-                all_bytes, lengths = decoded_bytes(values, vocab)
-                ends = np.concatenate([[0], np.cumsum(lengths)])
                 counts = lists.value_lengths().to_numpy(zero_copy_only=False)
-                rows = ends[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-                binary = pa.Array.from_buffers(
-                    pa.binary(), len(lists),
-                    [None, pa.py_buffer(rows.astype(np.int32)), pa.py_buffer(all_bytes)])
-                yield pa.record_batch([part.column(0), part.column(1), binary],
-                                      names=["doc_id", "token_ids", "bytes"])
+                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+                sizes = np.concatenate([[0], np.cumsum(vocab.lengths[values], dtype=np.int64)])[ends]
+                start = 0
+                while start < len(lists):  # rows of about BYTES_OUT, so that 32-bit offsets hold
+                    stop = max(start + 1, int(np.searchsorted(sizes, sizes[start] + BYTES_OUT, "right")) - 1)
+                    all_bytes, _ = decoded_bytes(values[ends[start]:ends[stop]], vocab)
+                    if len(all_bytes) > np.iinfo(np.int32).max:
+                        raise OverflowError("a decoded text of more than 2 GB does not fit into a row")
+                    offsets = (sizes[start:stop + 1] - sizes[start]).astype(np.int32)
+                    binary = pa.Array.from_buffers(
+                        pa.binary(), stop - start, [None, pa.py_buffer(offsets), pa.py_buffer(all_bytes)])
+                    rows = part.slice(start, stop - start)
+                    yield pa.record_batch([rows.column(0), rows.column(1), binary],
+                                          names=["doc_id", "token_ids", "bytes"])
+                    start = stop
 
     id_type = tokens.schema["doc_id"].dataType.simpleString()
     return tokens.select("doc_id", "token_ids").mapInArrow(
-        decode, f"doc_id {id_type}, token_ids array<int>, bytes binary")
+        frugal(decode), f"doc_id {id_type}, token_ids array<int>, bytes binary")

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from holdrift.llm.memory import frugal
 from holdrift.llm.tables import small_side, stored
 
 BUCKETS = 1 << 15
@@ -73,7 +74,7 @@ def bucket_counts(texts: DataFrame) -> DataFrame:
         yield pa.record_batch([pa.array(held), pa.array(target[held]), pa.array(raw[held])],
                               names=["bucket", "n_target", "n_raw"])
 
-    counted = texts.select("text", "quality").mapInArrow(count, "bucket long, n_target long, n_raw long")
+    counted = texts.select("text", "quality").mapInArrow(frugal(count), "bucket long, n_target long, n_raw long")
     return counted.groupBy("bucket").agg(F.sum("n_target").alias("n_target"), F.sum("n_raw").alias("n_raw"))
 
 

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from holdrift.llm import shingles
 from holdrift.llm.components import components
+from holdrift.llm.memory import frugal
 from holdrift.llm.tables import small_side, stored
 
 LEAST_SHARED = 3
@@ -102,7 +103,7 @@ def token_counts(documents: DataFrame, like: Similarity) -> DataFrame:
         if size:
             yield from counted()
 
-    counted = documents.select("text").mapInArrow(count, "token long, n long")
+    counted = documents.select("text").mapInArrow(frugal(count), "token long, n long")
     return counted.groupBy("token").agg(F.sum("n").alias("n"))
 
 
@@ -145,9 +146,9 @@ def described(documents: DataFrame, like: Similarity, hot: np.ndarray) -> DataFr
                 size = like.prefix_size(len(tokens))
                 if size:
                     is_hot = _among(tokens, hot)
-                    prefixes.append(np.concatenate([tokens[~is_hot], tokens[is_hot]])[:size])
+                    prefixes.append(np.concatenate([tokens[~is_hot][:size], tokens[is_hot]])[:size].copy())
                 else:
-                    prefixes.append(tokens[:0])
+                    prefixes.append(np.zeros(0, np.uint64))
                 ns.append(len(tokens))
                 digests.append(shingles.digest(tokens) if len(tokens) else None)
             yield pa.record_batch([batch.column(0), pa.array(ns, pa.int64()), pa.array(digests, pa.binary()),
@@ -155,7 +156,7 @@ def described(documents: DataFrame, like: Similarity, hot: np.ndarray) -> DataFr
 
     id_type = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(
-        describe, f"doc_id {id_type}, n_shingles long, digest binary, prefix array<long>")
+        frugal(describe), f"doc_id {id_type}, n_shingles long, digest binary, prefix array<long>")
 
 
 def token_sets(documents: DataFrame, wanted: DataFrame, like: Similarity) -> DataFrame:
@@ -181,7 +182,7 @@ def token_sets(documents: DataFrame, wanted: DataFrame, like: Similarity) -> Dat
                 yield pa.record_batch([pa.array(list(found), pa.binary()), _lists(list(found.values()))],
                                       names=["digest", "tokens"])
 
-    found = texts.mapInArrow(sets, "digest binary, tokens array<long>")
+    found = texts.mapInArrow(frugal(sets), "digest binary, tokens array<long>")
     return stored(found.join(small_side(wanted.select("node", "digest")), "digest").select("node", "tokens"))
 
 

@@ -84,3 +84,12 @@ def test_blocks_do_not_change_ids(spark, monkeypatch):
         alone = byte_bpe._Block()
         alone.add(k, text, cut)
         assert together[k] == [r for b in alone.batches(vocab, pa.int64()) for r in b.column(1).to_pylist()][0]
+
+
+def test_decoded_rows_in_small_batches(spark, monkeypatch):
+    """Batches are cut by bytes; a text above the bound is a batch of its own, and empty ones get lost nowhere."""
+    monkeypatch.setattr(byte_bpe, "BYTES_OUT", 50)
+    texts = ["", "a b", "long " * 30, "", None, "x" * 50, "é" * 40, "end", ""] * 3
+    tokens = byte_bpe.encoded(documents(spark, list(enumerate(texts))).coalesce(1), RANKS, public_tokenizers.PATTERN)
+    found = {r["doc_id"]: bytes(r["bytes"]).decode() for r in byte_bpe.decoded(tokens, RANKS).collect()}
+    assert found == {k: text or "" for k, text in enumerate(texts)}
