@@ -6,8 +6,8 @@ percentage. Equal sets are one class from the start, so copies never meet each o
 - Tokens have one order for all: cold before hot, then by hash. The prefix of a set holds so many of
   its first tokens that two similar sets share a twentieth of the smaller one in their prefixes.
   A passage that unrelated documents share seldom reaches that.
-- Similar classes form groups: those with the same first shared token, at most about
-  ``GROUP_SIZE`` each; a larger group is dealt out, and all parts get the class that shares most as a guest.
+- Similar classes form groups: those whose most held prefix token is the same, so that a family falls into few
+  groups, of at most about ``GROUP_SIZE`` each; a larger group is dealt out, and all parts get the class that shares most as a guest.
 - Within a group all links are found in one task, from a matrix of members and tokens. The guest connects the
   parts of a large group of near copies without comparing them with each other.
 - The token-group matrix holds the union of the prefix tokens of each group. The overlap of a class with that
@@ -303,13 +303,15 @@ def joined(documents: DataFrame, like: Similarity = Similarity()) -> DataFrame:
     named = small_side(classes.select("digest", "min_id", "node"))
     tokens = described_rows.join(named, "digest").where(F.col("doc_id").eqNullSafe(F.col("min_id"))).select(
         "node", F.explode("prefix").alias("token"))
-    common = tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where(
-        "low != high").select("token")
+    common = tokens.groupBy("token").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("holders")).where(
+        "low != high").select("token", "holders")
     tokens = stored(tokens.join(common, "token"))
     sizes = classes.select("node", "n")
-    active = stored(tokens.groupBy("node").agg(F.count("*").alias("common"), F.min("token").alias("key")).join(
+    most_held = F.max(F.struct("holders", "token"))["token"]
+    active = stored(tokens.groupBy("node").agg(F.count("*").alias("common"), most_held.alias("key")).join(
         sizes, "node").where(F.col("common") >= _shared(F.ceil(F.col("n") * like.percent / 100))))
-    tokens = tokens.join(active.select("node", "n"), "node")
+    tokens = tokens.drop("holders").join(active.select("node", "n"), "node")
     keyed = _parts(active.select("node", "key", "common"), "key")
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     groups = stored(keyed.select("node", "key", part.alias("part"), "size", "parts", "first"))
