@@ -79,12 +79,15 @@ def forced_keys(overrides: DataFrame) -> DataFrame:
 def crosswalk_state(rows: DataFrame) -> DataFrame:
     """Per key of holdings that state an ISIN the smallest and largest one: (table, key, low, high).
 
-    All four kinds of key are built in one pass, and both ISINs are combined before the shuffle,
-    however common the key is. States of parts of the rows can be merged.
+    Holdings name the same securities date after date: each distinct (ticker, name, country, ISIN) is
+    taken once, combined before the shuffle, and all four kinds of key are built from it in one
+    pass. So sorting for the smallest text grows with the securities, not with the rows.
+    States of parts of the rows can be merged.
     """
     base, country = base_ticker("constituent_ticker"), normal_country("country")
     known = rows.filter(is_isin("isin") & (F.col("isin") != CASH_ISIN))
-    keys = known.select("isin", _keyed(
+    distinct = known.select("constituent_ticker", "constituent_name", "country", "isin").distinct()
+    keys = distinct.select("isin", _keyed(
         (FULL, normal_ticker("constituent_ticker")), (PAIR, _pair(base, country)), (BASE, base),
         (NAME, normal_name("constituent_name"))))
     return keys.filter(F.col("key").isNotNull()).groupBy("table", "key").agg(

@@ -150,11 +150,14 @@ def staged_run(rows: DataFrame, folder: str, run_date, batch=("etf_ticker",), so
 
 
 def write_run(rows: DataFrame, folder: str, run: str) -> int:
-    """Writes rows, dates and keys of an uncommitted run; returns the number of its dates."""
+    """Writes rows, dates and keys of an uncommitted run; returns the number of its dates.
+
+    The dates are counted in many tasks; rebalancing joins those of a small run into one file.
+    """
     spark = rows.sparkSession
     history.write_history(rows, f"{folder}/rows/run={run}", mode="errorifexists")
     written = spark.read.schema(HISTORY).parquet(f"{folder}/rows/run={run}")
-    dates_of(written).coalesce(1).write.parquet(f"{folder}/dates/run={run}")
+    dates_of(written).hint("rebalance").write.parquet(f"{folder}/dates/run={run}")
     crosswalk_state(written).write.parquet(f"{folder}/keys/run={run}")
     return spark.read.parquet(f"{folder}/dates/run={run}").count()
 

@@ -174,3 +174,23 @@ def test_keys_of_runs_merge_to_those_of_the_whole_history(spark, tmp_path):
     ledger.rebuild_keys(spark, folder)
     again = ledger.read_ledger(spark, folder).keys
     assert rows(again) == rows(resolve.crosswalk_state(found.rows))
+
+
+def test_the_dates_of_a_large_run_are_indexed_in_many_tasks(spark, tmp_path):
+    folder, whole = str(tmp_path), tables.holdings(spark, FOLDER)
+    names = ["advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize"]
+    kept = {f"spark.sql.adaptive.{name}": spark.conf.get(f"spark.sql.adaptive.{name}") for name in names}
+    try:
+        for name in kept:
+            spark.conf.set(name, "1k")
+        ledger.import_history(whole, folder)
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    [run] = (tmp_path / "dates").iterdir()
+    assert len(list(run.glob("*.parquet"))) > 1
+    assert rows(ledger.read_ledger(spark, folder).dates) == rows(ledger.dates_of(whole))
+    small = str(tmp_path / "small")
+    ledger.append_run(history(spark, FIRST), small, DAY[9])
+    [run] = (tmp_path / "small" / "dates").iterdir()
+    assert len(list(run.glob("*.parquet"))) == 1

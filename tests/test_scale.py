@@ -92,6 +92,15 @@ def test_plans_hold_no_python_and_no_cross_join(spark):
             assert word not in text, (name, word)
 
 
+def test_crosswalk_keys_are_made_of_distinct_securities(spark):
+    """What is sorted for the smallest and largest ISIN grows with the securities, not with the rows."""
+    table = tables.holdings(spark, FOLDER)
+    text = plan(resolve.crosswalk_state(table))
+    assert "SortAggregate" in text[:text.index("Generate")]
+    assert "HashAggregate" in text[text.index("Generate"):]
+    assert rows(resolve.crosswalk_state(table.union(table))) == rows(resolve.crosswalk_state(table))
+
+
 def test_one_fund_with_most_rows(spark):
     """A hot fund, date and position: lots are combined before the shuffle, nothing is lost."""
     lots = spark.range(200000).select(
