@@ -8,25 +8,28 @@ from holdrift.fixed_values import (
     DERIVATIVE, DERIVATIVE_WORDS, EQUITY, FX, LABEL_RULES, RESIDUAL, TRACKED_TYPES,
     UNTYPED_ROW_CURRENCY_CODES,
 )
-from holdrift.functions.text import blank_to_null, bound, contains_any, strip
+from holdrift.functions.text import blank_to_null, bound, contains_any, strip, strip_plain
+
+
+def _label_rule(label) -> Column:
+    """The type of the first rule whose text a stripped, lower-case label holds."""
+    return F.coalesce(*[F.when(F.contains(label, F.lit(part)), kind) for part, kind in LABEL_RULES])
 
 
 def label_type(c) -> Column:
     """Instrument type told by a provider's asset-class label, else NULL."""
-    rules = F.lit([list(rule) for rule in LABEL_RULES])
-    return bound(F.lower(strip(c)), lambda label: F.get(F.get(
-        F.filter(rules, lambda rule: F.contains(label, rule[0])), F.lit(0)), F.lit(1)))
+    return bound(F.lower(strip(c)), _label_rule)
 
 
 def with_instrument_type(df: DataFrame, label="asset_class") -> DataFrame:
     """Adds ``instrument_type``: the provider's label decides, else name, ticker and size."""
     label = F.col(label) if isinstance(label, str) else label
     ticker = F.coalesce(F.col("constituent_ticker"), F.lit(""))
-    prepared = df.withColumns({
-        "_by_label": label_type(label),
+    prepared = df.withColumn("_label", F.lower(strip_plain(label))).withColumns({
+        "_by_label": _label_rule(F.col("_label")),
         "_words": F.lower(F.concat(
             F.coalesce(F.col("constituent_name"), F.lit("")), F.lit(" "), ticker)),
-        "_code": F.upper(strip(ticker)),
+        "_code": F.upper(strip_plain(ticker)),
         "_has_isin": F.coalesce(blank_to_null("isin") != CASH_ISIN, F.lit(False)),
     })
     words, code, has_isin = F.col("_words"), F.col("_code"), F.col("_has_isin")
@@ -42,7 +45,7 @@ def with_instrument_type(df: DataFrame, label="asset_class") -> DataFrame:
         .otherwise(EQUITY)
     )
     return prepared.withColumn("instrument_type", kind).drop(
-        "_by_label", "_words", "_code", "_has_isin")
+        "_label", "_by_label", "_words", "_code", "_has_isin")
 
 
 def is_tracked_type(c="instrument_type") -> Column:

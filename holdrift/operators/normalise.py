@@ -5,12 +5,15 @@ from pyspark.sql import functions as F
 
 from holdrift.fixed_values import CASH, CASH_ISIN, RAW_FIELDS
 from holdrift.functions.classify import with_instrument_type
-from holdrift.functions.text import blank_to_null, clean_isin, clean_text, parse_date, parse_number
+from holdrift.functions.text import (
+    blank_to_null, bound, joined_digits, known_isin, known_text, signed_number, stated_date, strip_plain, without_signs,
+)
 from holdrift.operators.resolve import fill_isins
 from holdrift.plans.joins import join_side
 
 _TEXTS = ["constituent_ticker", "constituent_name", "sedol", "currency", "sector", "country",
           "asset_class"]
+_APART = "currency"
 _NUMBERS = ["shares_held", "market_value", "weight_pct"]
 
 
@@ -22,21 +25,39 @@ def canonical_columns(raw: DataFrame, keep=()) -> DataFrame:
 
 
 def cleaned(raw: DataFrame, batch, default_date=None) -> DataFrame:
-    """Texts stripped, numbers and dates parsed, ISINs checked."""
+    """Texts stripped, numbers and dates parsed, ISINs checked.
+
+    Every step is a projection that names the values of the one before, so each value is computed once.
+    In three of them one light column is computed by a higher-order function. Spark then compiles
+    the other columns in small methods; within a whole stage they would make one method, too long
+    for the JVM to compile. What a higher-order function holds is interpreted, so it holds little.
+    """
     rows = canonical_columns(raw, batch)
-    typed = {name: clean_text(name) for name in _TEXTS}
-    typed.update({name: _number(rows, name) for name in _NUMBERS})
-    typed["isin"] = clean_isin("isin")
-    date = F.col("as_of_date")
-    if rows.schema["as_of_date"].dataType.typeName() == "string":
-        date = parse_date(date)
-    typed["as_of_date"] = F.coalesce(date, F.lit(default_date).cast("date"))
-    return rows.withColumns(typed)
-
-
-def _number(rows, name) -> Column:
-    if rows.schema[name].dataType.typeName() == "string":
-        return parse_number(name)
+    stated = {name for name in RAW_FIELDS if rows.schema[name].dataType.typeName() == "string"}
+    bare = {name: f"_bare_{name}" for name in _NUMBERS if name in stated}
+
+    def texts(value):
+        return {name: bound(F.col(name), value) if name == _APART else value(F.col(name)) for name in _TEXTS}
+
+    def stripped(text):
+        return strip_plain(text.cast("string"))
+
+    others = ["isin", *bare, *(["as_of_date"] if "as_of_date" in stated else [])]
+    rows = rows.withColumns({**texts(stripped), **{name: stripped(F.col(name)) for name in others}})
+    rows = rows.withColumns({
+        **texts(known_text), "isin": F.upper(F.col("isin")),
+        **{b: without_signs(F.col(name)) for name, b in bare.items()}})
+    rows = rows.withColumns({b: strip_plain(F.col(b)) for b in bare.values()})
+    rows = rows.withColumns({b: joined_digits(F.col(b)) for b in bare.values()})
+    date = stated_date(F.col("as_of_date")) if "as_of_date" in stated else F.col("as_of_date")
+    rows = rows.withColumns({
+        **{name: signed_number(F.col(name), F.col(bare[name])) if name in bare else _number(name) for name in _NUMBERS},
+        "isin": bound(F.col("isin"), known_isin),
+        "as_of_date": F.coalesce(date, F.lit(default_date).cast("date"))})
+    return rows.drop(*bare.values())
+
+
+def _number(name) -> Column:
     value = F.col(name).cast("double")
     return F.when(~F.isnan(value), value)
 

@@ -1,3 +1,8 @@
+import re
+
+from pyspark.sql import functions as F
+
+from holdrift.functions.text import clean_isin, clean_text, parse_date, parse_number
 from holdrift.operators import normalise, resolve
 from tests.build import rows
 
@@ -95,3 +100,27 @@ def test_counts(spark):
                                    (None, None, None, None)], _KNOWN)
     found = resolve.resolution_counts(resolve.resolved(asked, resolve.isin_lookup(known)))
     assert rows(found) == [("ambiguous", 1), ("resolved", 1), ("ticker_full", 1), ("unresolved", 1)]
+
+
+def test_numbers_are_parsed_outside_of_higher_order_functions(spark):
+    """What a higher-order function holds is interpreted for every row, which takes most of the time."""
+    found = normalise.cleaned(raw(spark, [{"weight_pct": "5%"}]), ["etf_ticker"])
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"RLIKE\(_bare_(?:weight_pct|market_value|shares_held)#", text)) >= 3
+    assert not re.search(r"RLIKE\(lambda x_\d+#\d+, \^\\d", text)
+
+
+def test_cleaned_rows_equal_the_functions_of_single_texts(spark):
+    spaces = [" ", "\t", "\n", "\u3000", "\xa0", "\x00", "\u2009 ", ""]
+    cores = ["5", "$1,234.5%", "(3.5)", "( 7 )", "(-2", ")7", "51(", "1_000", "1__0", "nan", "-nan", "$inf", "1d", "0x1p3", "1e400", "\u0665",
+             "N/A", "-", "none", "", "\u00e9t\u00e9", "us0378331005", "cash", "2/30/2026", "30/2/2026", "2026-06-01", "15 Jun 2026", "15-jun-69"]
+    texts = [before + core + after for core in cores for before in spaces for after in spaces] + [None]
+    table = spark.createDataFrame([("F", i, *[t] * 6) for i, t in enumerate(texts)], "etf_ticker string, i int, " + ", ".join(
+        f"{name} string" for name in ["constituent_ticker", "currency", "isin", "weight_pct", "shares_held", "as_of_date"]))
+    found = normalise.cleaned(table, ["i"])
+    wanted = table.select("i", *[function(name).alias(name) for name, function in {
+        "constituent_ticker": clean_text, "currency": clean_text, "isin": clean_isin, "weight_pct": parse_number,
+        "shares_held": parse_number, "as_of_date": parse_date}.items()])
+    assert rows(found, *wanted.columns) == rows(wanted)
+    odd = found.join(table.select("i", F.col("weight_pct").alias("text")), "i").filter(F.col("text").isin(")7", "51(", "(3.5)"))
+    assert rows(odd.distinct(), "text", "weight_pct") == [("(3.5)", -3.5), (")7", 7.0), ("51(", 51.0)]
