@@ -95,7 +95,7 @@ def judged_heads(heads: DataFrame, history: DataFrame, run_date, batch=("etf_tic
     """
     heads = settled(heads)
     wanted = join_side(heads.filter(F.col("as_of_date") <= F.lit(run_date).cast("date")).select(
-        "etf_ticker", "as_of_date").distinct()).filter(F.col("as_of_date").isNotNull())
+        "etf_ticker", "as_of_date")).filter(F.col("as_of_date").isNotNull())
     known = history.select("etf_ticker", "as_of_date").join(
         wanted, ["etf_ticker", "as_of_date"], "left_semi").distinct().withColumn(
         "stored", F.lit(True))
@@ -112,6 +112,14 @@ def judged_heads(heads: DataFrame, history: DataFrame, run_date, batch=("etf_tic
     return judged.withColumn("status", status).drop("stored", "turn")
 
 
+def with_taken_dates(judged: DataFrame, taken: DataFrame) -> DataFrame:
+    """Judged heads after more dates, distinct ones of (fund, date), have been stored: these are skipped."""
+    stored = taken.withColumn("stored", F.lit(True))
+    gone = (F.col("status") == "ingested") & F.col("stored")
+    return judged.join(stored, ["etf_ticker", "as_of_date"], "left").select(*[
+        F.when(gone, "skipped").otherwise(F.col(c)).alias(c) if c == "status" else c for c in judged.columns])
+
+
 def new_rows(rows: DataFrame, judged: DataFrame, batch=("etf_ticker",), source=DEFAULT_SOURCE):
     """The rows of ingested batches, stamped with the batch's date, fund and source."""
     accepted = judged.filter("status = 'ingested'").select(

@@ -6,7 +6,7 @@ run's number in the order of commits. Readers obey the commits: rows and dates o
 
 - A run that is cut off anywhere before its commit leaves nothing to be seen, and is simply run again.
 - Two runs at once both write; only one gets the next number. The other looks at what was committed meanwhile:
-  if a date of its own is among it, its batches are judged and written anew, else it takes the number after.
+  if a date of its own is among it, the run is written anew without it, else it takes the number after.
 - A retry finds its dates in the index and appends nothing.
 
 So each (fund, date) is stored exactly once, and which dates are stored is told by the index
@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from holdrift.fixed_values import DEFAULT_SOURCE
 from holdrift.operators.resolve import crosswalk_state, merged_states
-from holdrift.plans.joins import settled
+from holdrift.plans.joins import join_side, settled
 from holdrift.schemas import HISTORY
 from holdrift.sources import history
 
@@ -54,11 +54,9 @@ class Ledger(NamedTuple):
 class Staged(NamedTuple):
     """A run that is written but not committed."""
 
-    rows: DataFrame
+    spark: SparkSession
     folder: str
-    run_date: object
     batch: tuple
-    source: str
     judged: DataFrame
     run: str | None   # None: nothing was new
     version: int      # the commits it was judged by
@@ -135,18 +133,41 @@ def missing_dates(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce("indexed", F.lit(0)) != F.col("n_dates"))
 
 
+def _whole_index(spark: SparkSession, folder: str) -> None:
+    if not missing_dates(spark, folder).isEmpty():
+        raise ValueError(f"the dates index of {folder} is incomplete: repair_dates first")
+
+
 def staged_run(rows: DataFrame, folder: str, run_date, batch=("etf_ticker",), source=DEFAULT_SOURCE) -> Staged:
     """Judges the batches by the dates index and writes the new ones, without committing them."""
     spark = rows.sparkSession
-    if not missing_dates(spark, folder).isEmpty():
-        raise ValueError(f"the dates index of {folder} is incomplete: repair_dates first")
+    _whole_index(spark, folder)
     ledger = read_ledger(spark, folder)
     judged = settled(history.judged_heads(history.batch_heads(rows, batch), ledger.dates, run_date, batch))
     if judged.filter("status = 'ingested'").isEmpty():
-        return Staged(rows, folder, run_date, batch, source, judged, None, ledger.version, 0)
+        return Staged(spark, folder, batch, judged, None, ledger.version, 0)
     run = uuid.uuid4().hex
     n_dates = write_run(history.new_rows(rows, judged, batch, source), folder, run)
-    return Staged(rows, folder, run_date, batch, source, judged, run, ledger.version, n_dates)
+    return Staged(spark, folder, batch, judged, run, ledger.version, n_dates)
+
+
+def _without(staged: Staged, taken: DataFrame, version: int) -> Staged:
+    """A staged run written anew without dates that others have stored since it was judged.
+
+    Stored dates only become more, so nothing else is judged otherwise. What remains is copied from the rows the
+    run has written; its source is not read again.
+    """
+    spark, folder = staged.spark, staged.folder
+    _whole_index(spark, folder)
+    judged = settled(history.with_taken_dates(staged.judged, taken))
+    kept = judged.filter("status = 'ingested'").select("etf_ticker", "as_of_date")
+    if kept.isEmpty():
+        return staged._replace(judged=judged, run=None, version=version, n_dates=0)
+    written = spark.read.schema(HISTORY).parquet(f"{folder}/rows/run={staged.run}")
+    run = uuid.uuid4().hex
+    rows = written.join(join_side(kept), ["etf_ticker", "as_of_date"], "left_semi")
+    n_dates = write_run(history.with_history_columns(rows), folder, run)
+    return staged._replace(judged=judged, run=run, version=version, n_dates=n_dates)
 
 
 def write_run(rows: DataFrame, folder: str, run: str) -> int:
@@ -164,16 +185,17 @@ def write_run(rows: DataFrame, folder: str, run: str) -> int:
 
 def committed(staged: Staged) -> DataFrame:
     """Commits a staged run, anew judged if another run was faster; returns the status per batch."""
-    spark, folder = staged.rows.sparkSession, staged.folder
+    spark, folder = staged.spark, staged.folder
     while staged.run is not None:
         if _take_number(spark, folder, staged.version + 1, staged.run, staged.n_dates):
             break
         newer = read_ledger(spark, folder)
         own = staged.judged.filter("status = 'ingested'").select("etf_ticker", "as_of_date")
-        if newer.dates.join(F.broadcast(own), ["etf_ticker", "as_of_date"], "left_semi").isEmpty():
+        taken = settled(newer.dates.select(*own.columns).join(join_side(own), own.columns, "left_semi").distinct())
+        if taken.isEmpty():
             staged = staged._replace(version=newer.version)
         else:
-            staged = staged_run(staged.rows, folder, staged.run_date, staged.batch, staged.source)
+            staged = _without(staged, taken, newer.version)
     return history.status_rows(staged.judged, staged.batch)
 
 

@@ -115,6 +115,27 @@ def test_import(spark, tmp_path):
         ("A", "ingested", DAY[3], 1), ("B", "skipped", DAY[2], 0)]
 
 
+def test_a_run_judged_anew_is_copied_from_what_it_has_written(spark, tmp_path):
+    folder, source = str(tmp_path / "ledger"), str(tmp_path / "source")
+    named = [position("A", 3, "X", 2, isin="US0000000011"), position("B", 2, "X", 9, isin="US0000000029"),
+             position("B", 2, "Y", 4), position("B", 2, "M", 1), position("C", 4, "Y", 1, isin="US0000000045"),
+             position("D", 12, "Y", 1), {"etf_ticker": "E", "constituent_ticker": "Y"}]
+    history(spark, named).write.parquet(source)
+    slow = ledger.staged_run(spark.read.parquet(source), folder, DAY[9])
+    ledger.append_run(history(spark, [position("A", 3, "Z", 1), position("F", 3, "Z", 1)]), folder, DAY[9])
+    # The source is gone by now; what was judged has been written.
+    history(spark, [position("B", 5, "N", 1)]).write.mode("overwrite").parquet(source)
+    assert rows(ledger.committed(slow)) == sorted([
+        ("A", "skipped", DAY[3], 0), ("B", "ingested", DAY[2], 3), ("C", "ingested", DAY[4], 1),
+        ("D", "future_date", None, 0), ("E", "no_data", None, 0)], key=repr)
+    assert stored(spark, folder) == [
+        ("A", DAY[3], "Z", 1.0), ("B", DAY[2], "M", 1.0), ("B", DAY[2], "X", 9.0), ("B", DAY[2], "Y", 4.0),
+        ("C", DAY[4], "Y", 1.0), ("F", DAY[3], "Z", 1.0)]
+    found = ledger.read_ledger(spark, folder)
+    assert rows(found.dates) == rows(ledger.dates_of(found.rows)) and found.version == 1
+    assert rows(found.keys) == rows(resolve.crosswalk_state(found.rows))
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
