@@ -12,6 +12,9 @@ from holdrift.operators.coverage import rows_and_dates, rows_per_type
 from holdrift.plans.joins import join_side, settled
 from holdrift.schemas import HISTORY
 
+# Parts of a date that tasks write on their own, so also the most files of a date that is not large.
+DATE_PARTS = 16
+
 
 def with_history_columns(rows: DataFrame) -> DataFrame:
     """The stored columns in their order and types; missing ones are NULL."""
@@ -137,10 +140,19 @@ def status_rows(judged: DataFrame, batch=("etf_ticker",)) -> DataFrame:
         F.when(ingested, F.col("n_rows")).otherwise(0).cast("long").alias("n_today"))
 
 
+def balanced(rows: DataFrame) -> DataFrame:
+    """The same rows, each date's dealt into parts by position; rebalancing splits large parts and joins small ones.
+
+    Rebalancing alone splits a date only between the tasks that read it, so a source read by one task would
+    bring whole dates into the sort of one write task.
+    """
+    part = F.pmod(F.xxhash64("etf_ticker", "constituent_ticker", "constituent_name", "isin"), F.lit(DATE_PARTS))
+    return rows.withColumn("_part", part).hint("rebalance", "as_of_date", "_part").drop("_part")
+
+
 def write_history(rows: DataFrame, folder: str, mode="append") -> None:
-    """Writes rows by date; rebalancing splits large dates over files and joins small ones."""
-    balanced = rows.hint("rebalance", "as_of_date").sortWithinPartitions("etf_ticker")
-    balanced.write.mode(mode).partitionBy("as_of_date").parquet(folder)
+    """Writes rows by date; a large date takes several files, small ones are written by one task."""
+    balanced(rows).sortWithinPartitions("etf_ticker").write.mode(mode).partitionBy("as_of_date").parquet(folder)
 
 
 def append_snapshots(rows: DataFrame, folder: str, run_date, batch=("etf_ticker",),

@@ -73,6 +73,31 @@ def test_stored_history_gives_the_same_deltas(spark, tmp_path):
     assert shown(stored.repartition(13)) == wanted  # sums do not depend on the order of rows
 
 
+def test_a_large_date_read_by_one_task_is_written_by_several(spark, tmp_path):
+    """Nor is a small one split: rows of two dates, told to be large by the size that rebalancing aims at."""
+    table = store.with_history_columns(spark.range(20000).coalesce(1).select(
+        F.expr("CASE WHEN id < 19000 THEN DATE'2026-06-01' END").alias("as_of_date"), F.lit("HOT").alias("etf_ticker"),
+        F.concat(F.lit("T"), F.col("id")).alias("constituent_ticker")))
+    sizes = [f"spark.sql.adaptive.{name}" for name in ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize")]
+
+    def rows_per_file(folder):
+        store.write_history(table, folder)
+        written = store.read_history(spark, folder)
+        assert rows(written, "constituent_ticker", "as_of_date") == rows(table, "constituent_ticker", "as_of_date")
+        files = written.filter("as_of_date IS NOT NULL").groupBy(F.input_file_name()).count()
+        return [n for _, n in files.collect()]
+
+    assert rows_per_file(str(tmp_path / "small")) == [19000]
+    try:
+        for name in sizes:
+            spark.conf.set(name, "16k")
+        large = rows_per_file(str(tmp_path / "large"))
+    finally:
+        for name in sizes:
+            spark.conf.unset(name)
+    assert len(large) > 1 and max(large) < 19000 * 2 / 3
+
+
 def test_history_deltas_shuffle_the_rows_once(spark):
     table, funds = tables.holdings(spark, FOLDER), tables.universe(spark, FOLDER)
     text = plan(views.history_deltas(table, funds))
