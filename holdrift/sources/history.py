@@ -12,8 +12,8 @@ from holdrift.operators.coverage import rows_and_dates, rows_per_type
 from holdrift.plans.joins import join_side, settled
 from holdrift.schemas import HISTORY
 
-# Parts of a date that tasks write on their own, so also the most files of a date that is not large.
-DATE_PARTS = 16
+# A date of more rows is written in several parts of about so many.
+PART_ROWS = 250_000
 
 
 def with_history_columns(rows: DataFrame) -> DataFrame:
@@ -140,19 +140,31 @@ def status_rows(judged: DataFrame, batch=("etf_ticker",)) -> DataFrame:
         F.when(ingested, F.col("n_rows")).otherwise(0).cast("long").alias("n_today"))
 
 
-def balanced(rows: DataFrame) -> DataFrame:
-    """The same rows, each date's dealt into parts by position; rebalancing splits large parts and joins small ones.
+def ingested_per_date(judged: DataFrame) -> DataFrame:
+    """as_of_date, n_rows of what judged batches bring."""
+    return judged.filter("status = 'ingested'").groupBy("as_of_date").agg(F.sum("n_rows").alias("n_rows"))
+
+
+def balanced(rows: DataFrame, per_date: DataFrame | None = None) -> DataFrame:
+    """The same rows, those of a large date dealt into parts by position; rebalancing then joins small dates and parts.
 
     Rebalancing alone splits a date only between the tasks that read it, so a source read by one task would
-    bring whole dates into the sort of one write task.
+    bring whole dates into the sort of one write task. Rows per date are counted if they are not given.
     """
-    part = F.pmod(F.xxhash64("etf_ticker", "constituent_ticker", "constituent_name", "isin"), F.lit(DATE_PARTS))
-    return rows.withColumn("_part", part).hint("rebalance", "as_of_date", "_part").drop("_part")
+    if per_date is None:
+        per_date = rows.groupBy("as_of_date").agg(F.count("*").alias("n_rows"))
+    large = join_side(per_date.filter(F.col("n_rows") > PART_ROWS).select(
+        F.col("as_of_date").alias("_date"), F.ceil(F.col("n_rows") / PART_ROWS).alias("_parts")))
+    position = F.xxhash64("etf_ticker", "constituent_ticker", "constituent_name", "isin")
+    dealt = rows.join(large, F.col("as_of_date").eqNullSafe(F.col("_date")), "left").withColumn(
+        "_part", F.pmod(position, F.coalesce("_parts", F.lit(1))))
+    return dealt.hint("rebalance", "as_of_date", "_part").drop("_part", "_date", "_parts")
 
 
-def write_history(rows: DataFrame, folder: str, mode="append") -> None:
+def write_history(rows: DataFrame, folder: str, mode="append", per_date: DataFrame | None = None) -> None:
     """Writes rows by date; a large date takes several files, small ones are written by one task."""
-    balanced(rows).sortWithinPartitions("etf_ticker").write.mode(mode).partitionBy("as_of_date").parquet(folder)
+    whole = balanced(rows, per_date).sortWithinPartitions("etf_ticker")
+    whole.write.mode(mode).partitionBy("as_of_date").parquet(folder)
 
 
 def append_snapshots(rows: DataFrame, folder: str, run_date, batch=("etf_ticker",),
@@ -163,7 +175,7 @@ def append_snapshots(rows: DataFrame, folder: str, run_date, batch=("etf_ticker"
     """
     history = read_history(rows.sparkSession, folder)
     judged = settled(judged_heads(batch_heads(rows, batch), history, run_date, batch))
-    write_history(new_rows(rows, judged, batch, source), folder)
+    write_history(new_rows(rows, judged, batch, source), folder, per_date=ingested_per_date(judged))
     return status_rows(judged, batch)
 
 

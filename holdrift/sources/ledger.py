@@ -147,7 +147,7 @@ def staged_run(rows: DataFrame, folder: str, run_date, batch=("etf_ticker",), so
     if judged.filter("status = 'ingested'").isEmpty():
         return Staged(spark, folder, batch, judged, None, ledger.version, 0)
     run = uuid.uuid4().hex
-    n_dates = write_run(history.new_rows(rows, judged, batch, source), folder, run)
+    n_dates = write_run(history.new_rows(rows, judged, batch, source), folder, run, history.ingested_per_date(judged))
     return Staged(spark, folder, batch, judged, run, ledger.version, n_dates)
 
 
@@ -166,17 +166,17 @@ def _without(staged: Staged, taken: DataFrame, version: int) -> Staged:
     written = spark.read.schema(HISTORY).parquet(f"{folder}/rows/run={staged.run}")
     run = uuid.uuid4().hex
     rows = written.join(join_side(kept), ["etf_ticker", "as_of_date"], "left_semi")
-    n_dates = write_run(history.with_history_columns(rows), folder, run)
+    n_dates = write_run(history.with_history_columns(rows), folder, run, history.ingested_per_date(judged))
     return staged._replace(judged=judged, run=run, version=version, n_dates=n_dates)
 
 
-def write_run(rows: DataFrame, folder: str, run: str) -> int:
+def write_run(rows: DataFrame, folder: str, run: str, per_date: DataFrame | None = None) -> int:
     """Writes rows, dates and keys of an uncommitted run; returns the number of its dates.
 
     The dates are counted in many tasks; rebalancing joins those of a small run into one file.
     """
     spark = rows.sparkSession
-    history.write_history(rows, f"{folder}/rows/run={run}", mode="errorifexists")
+    history.write_history(rows, f"{folder}/rows/run={run}", mode="errorifexists", per_date=per_date)
     written = spark.read.schema(HISTORY).parquet(f"{folder}/rows/run={run}")
     dates_of(written).hint("rebalance").write.parquet(f"{folder}/dates/run={run}")
     crosswalk_state(written).write.parquet(f"{folder}/keys/run={run}")

@@ -73,8 +73,8 @@ def test_stored_history_gives_the_same_deltas(spark, tmp_path):
     assert shown(stored.repartition(13)) == wanted  # sums do not depend on the order of rows
 
 
-def test_a_large_date_read_by_one_task_is_written_by_several(spark, tmp_path):
-    """Nor is a small one split: rows of two dates, told to be large by the size that rebalancing aims at."""
+def test_a_large_date_read_by_one_task_is_written_by_several(spark, tmp_path, monkeypatch):
+    """A small one stays in one file."""
     table = store.with_history_columns(spark.range(20000).coalesce(1).select(
         F.expr("CASE WHEN id < 19000 THEN DATE'2026-06-01' END").alias("as_of_date"), F.lit("HOT").alias("etf_ticker"),
         F.concat(F.lit("T"), F.col("id")).alias("constituent_ticker")))
@@ -87,10 +87,11 @@ def test_a_large_date_read_by_one_task_is_written_by_several(spark, tmp_path):
         files = written.filter("as_of_date IS NOT NULL").groupBy(F.input_file_name()).count()
         return [n for _, n in files.collect()]
 
-    assert rows_per_file(str(tmp_path / "small")) == [19000]
     try:
         for name in sizes:
             spark.conf.set(name, "16k")
+        assert rows_per_file(str(tmp_path / "small")) == [19000]
+        monkeypatch.setattr(store, "PART_ROWS", 1000, raising=False)
         large = rows_per_file(str(tmp_path / "large"))
     finally:
         for name in sizes:
